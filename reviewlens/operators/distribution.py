@@ -154,7 +154,7 @@ def quantiles_of_few(
     by the distinct values and not by the rows.
     """
     found = value_counts(df, by, value).groupBy(by).agg(
-        F.percentile(value, list(probabilities.values()), "n").alias("_q")
+        F.percentile(value, list(probabilities.values()), F.col("n")).alias("_q")
     )
     return found.select(
         by, *[F.element_at("_q", i + 1).alias(name) for i, name in enumerate(probabilities)]

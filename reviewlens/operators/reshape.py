@@ -16,7 +16,11 @@ def pivot_matrix(
     The categories are an argument, so Spark needs no extra job to find them.
     """
     wide = df.groupBy(row).pivot(column, list(columns)).agg(F.avg(value))
-    return wide if fill is None else wide.fillna(fill, subset=list(columns))
+    if fill is None:
+        return wide
+    # Category names may contain dots, so they are quoted.
+    cells = [F.coalesce(F.col(f"`{c}`"), F.lit(fill)).alias(c) for c in columns]
+    return wide.select(row, *cells)
 
 
 def unpivot_matrix(

@@ -34,21 +34,26 @@ def _with_slot(df: DataFrame, order: Sequence[str], slots: int, slot: str) -> Da
 
     The cut points are the ``slots - 1`` rows with the smallest hash.  They
     depend on the rows only, so recomputing a lost partition gives the same
-    slots.
+    slots.  The slot, which is the number of cut points up to the row, is found
+    by halving the sorted cut points.
     """
-    point = F.struct(*order)
     cuts = (
-        df.select(point.alias("point"))
+        df.select(F.struct(*order).alias("point"))
         .orderBy(F.xxhash64("point"), "point")
         .limit(slots - 1)
-        .agg(F.collect_list("point"))
+        .agg(F.sort_array(F.collect_list("point")))
         .scalar()
     )
-    return (
-        df.withColumn("_cuts", cuts)
-        .withColumn(slot, F.size(F.filter("_cuts", lambda cut: cut <= point)))
-        .drop("_cuts")
-    )
+    placed = df.withColumns({"_cuts": cuts, "_point": F.struct(*order), slot: F.lit(0)})
+    step = 1 << (slots - 1).bit_length()
+    while step > 1:
+        step //= 2
+        # Past the last cut point `get` is null and the slot stays.
+        cut = F.get("_cuts", F.col(slot) + step - 1)
+        placed = placed.withColumn(
+            slot, F.when(cut <= F.col("_point"), F.col(slot) + step).otherwise(F.col(slot))
+        )
+    return placed.drop("_cuts", "_point")
 
 
 def with_position(

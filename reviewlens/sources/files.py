@@ -41,6 +41,12 @@ def data_files(spark: SparkSession, path: str) -> list[int]:
     return [status.getLen() for status in fs.globStatus(jpath) or []]
 
 
+def largest_file(spark: SparkSession, path: str) -> int:
+    """Size in bytes of a file, or of the largest file directly in a folder."""
+    jpath, fs = _path(spark, path)
+    return max((status.getLen() for status in fs.listStatus(jpath)), default=0)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder for intermediate tables.
 

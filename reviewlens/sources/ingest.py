@@ -8,7 +8,10 @@ from pyspark.sql import types as T
 from reviewlens.schemas import RAW_SCHEMAS
 from reviewlens.sources import files
 from reviewlens.sources.csv import read_csv, read_csv_in_parallel
-from reviewlens.sources.writers import write_balanced
+from reviewlens.sources.writers import MB, write_balanced
+
+# The default size of a file split.
+SPLIT_BYTES = 128 * MB
 
 
 def table_name(path: str) -> str:
@@ -25,13 +28,14 @@ def ingest_file(
     csv_path: str,
     table_path: str,
     schema: T.StructType | None = None,
-    parallel: bool = True,
+    parallel_from: int = SPLIT_BYTES,
 ) -> DataFrame:
     """One CSV file to one typed Parquet table, parsed once; returns the table.
 
-    ``parallel`` reads a large file by many tasks and needs a schema.
+    Given a schema, a file of more than ``parallel_from`` bytes is read by many
+    tasks; a smaller one is a single block anyway.
     """
-    if schema is not None and parallel:
+    if schema is not None and files.largest_file(spark, csv_path) > parallel_from:
         df = read_csv_in_parallel(spark, csv_path, schema)
     else:
         df = read_csv(spark, csv_path, schema)

@@ -549,6 +549,12 @@ ORACLES: dict[str, str] = {
         FROM reviews JOIN item_genres USING (item_id) GROUP BY genre_name""",
         "reviews", "item_genres",
     ),
+    "j03_fact_bridge_salted": sql(
+        """SELECT owner_name, count(DISTINCT item_id) AS items, count(review_id) AS reviews,
+        count(*) FILTER (recommended) AS positive, count(*) AS "rows"
+        FROM reviews JOIN item_owners USING (item_id) GROUP BY owner_name""",
+        "reviews", "item_owners",
+    ),
     "j04_left_join": sql(
         """SELECT item_id, item_name, owner_name FROM items LEFT JOIN primary_owner
         USING (item_id)""",

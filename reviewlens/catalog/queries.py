@@ -49,6 +49,11 @@ def _summary(t: Tables) -> DataFrame:
     return rollups.item_summary(t.reviews())
 
 
+def _stored_summary(t: Tables) -> DataFrame:
+    """The item summary as a table, for queries that need it more than once."""
+    return writers.store(_summary(t), f"{_scratch(t)}/item_summary.parquet")
+
+
 def _genre_labels(t: Tables) -> DataFrame:
     return categories.genre_labels(t.genre_bridge(), t.genres())
 
@@ -57,16 +62,19 @@ def _owner_labels(t: Tables) -> DataFrame:
     return owners.owner_labels(t.owner_bridge(), t.owners())
 
 
-def _contrast(t: Tables) -> DataFrame:
-    return items.engagement_contrast(_summary(t), t.items(), td.CONTRAST_MORE_THAN)
+def _contrast(t: Tables, summary: DataFrame | None = None) -> DataFrame:
+    summary = summary or _summary(t)
+    return items.engagement_contrast(summary, t.items(), td.CONTRAST_MORE_THAN)
 
 
-def _volume(t: Tables) -> DataFrame:
-    return categories.category_volume(_summary(t), _genre_labels(t))
+def _volume(t: Tables, summary: DataFrame | None = None) -> DataFrame:
+    summary = summary or _summary(t)
+    return categories.category_volume(summary, _genre_labels(t))
 
 
-def _negativity(t: Tables) -> DataFrame:
-    return items.negativity_by_tier(_summary(t), t.items(), td.NEGATIVITY_MORE_THAN)
+def _negativity(t: Tables, summary: DataFrame | None = None) -> DataFrame:
+    summary = summary or _summary(t)
+    return items.negativity_by_tier(summary, t.items(), td.NEGATIVITY_MORE_THAN)
 
 
 def _matrix(t: Tables) -> DataFrame:
@@ -77,23 +85,23 @@ def _sentiment(t: Tables) -> DataFrame:
     return categories.category_sentiment(_summary(t), _genre_labels(t), td.SENTIMENT_MORE_THAN)
 
 
-def _ratings(t: Tables) -> DataFrame:
+def _ratings(t: Tables, summary: DataFrame | None = None) -> DataFrame:
+    summary = summary or _summary(t)
     return items.item_ratings(
-        _summary(t), t.items(), t.owner_bridge(), t.owners(), td.RATING_AT_LEAST
+        summary, t.items(), t.owner_bridge(), t.owners(), td.RATING_AT_LEAST
     )
 
 
-def _performance(t: Tables) -> DataFrame:
+def _performance(t: Tables, summary: DataFrame | None = None) -> DataFrame:
+    summary = summary or _summary(t)
     return owners.owner_performance(
-        _summary(t), t.items(), _owner_labels(t), td.OWNER_ITEMS, td.OWNER_REVIEWS
+        summary, t.items(), _owner_labels(t), td.OWNER_ITEMS, td.OWNER_REVIEWS
     )
 
 
 def _timeline(t: Tables) -> DataFrame:
     months = rollups.item_month_summary(t.reviews())
-    per_item = rollups.roll_up(months, "item_id", sums=["reviews"])
-    volume = categories.category_volume(per_item, _genre_labels(t))
-    return categories.category_timeline(months, _genre_labels(t), volume)
+    return categories.category_timeline(months, _genre_labels(t), _volume(t))
 
 
 def _daily(t: Tables) -> DataFrame:
@@ -268,7 +276,7 @@ def k04_partition_refresh(t: Tables) -> DataFrame:
 
 @query
 def k05_shared_result(t: Tables) -> DataFrame:
-    summary = writers.store(_summary(t), f"{_scratch(t)}/item_summary.parquet")
+    summary = _stored_summary(t)
     negativity = items.negativity_by_tier(summary, t.items(), td.NEGATIVITY_MORE_THAN)
     matrix = items.tier_access_matrix(summary, t.items(), td.NEGATIVITY_MORE_THAN)
     per_tier = negativity.groupBy("price_tier").agg(F.count(F.lit(1)).alias("items"))
@@ -432,6 +440,14 @@ def j03_fact_bridge(t: Tables) -> DataFrame:
     return members.sum_by_label(_summary(t), _genre_labels(t), "genre_name", sums)
 
 
+@query
+def j03_fact_bridge_salted(t: Tables) -> DataFrame:
+    sums = ["reviews", "positive", "rows"]
+    return members.sum_by_label(
+        _summary(t), _owner_labels(t), "owner_name", sums, salts=members.SALTS
+    )
+
+
 @query
 def j04_left_join(t: Tables) -> DataFrame:
     first = members.primary_member(t.owner_bridge(), t.owners(), "owner_id", "owner_name")
@@ -446,15 +462,18 @@ def j05_existence(t: Tables) -> DataFrame:
 
 @query
 def j06_aggregate_aggregate(t: Tables) -> DataFrame:
-    means = _contrast(t).select("item_id", "avg_hours_negative")
-    return rounded(_negativity(t).select("item_id", "price_tier").join(means, "item_id"))
+    summary = _stored_summary(t)
+    means = _contrast(t, summary).select("item_id", "avg_hours_negative")
+    return rounded(_negativity(t, summary).select("item_id", "price_tier").join(means, "item_id"))
 
 
 @query
 def j07_three_results(t: Tables) -> DataFrame:
-    means = _contrast(t).select("item_id", "avg_hours_positive", "avg_hours_negative")
-    owned = _ratings(t).select("item_id", "owner_name", "pct_positive").join(means, "item_id")
-    return rounded(owned.join(_performance(t).select("owner_name", "num_games"), "owner_name"))
+    summary = _stored_summary(t)
+    means = _contrast(t, summary).select("item_id", "avg_hours_positive", "avg_hours_negative")
+    rated = _ratings(t, summary).select("item_id", "owner_name", "pct_positive")
+    owned = _performance(t, summary).select("owner_name", "num_games")
+    return rounded(rated.join(means, "item_id").join(owned, "owner_name"))
 
 
 @query
@@ -573,8 +592,9 @@ def a11_multi_key_group(t: Tables) -> DataFrame:
 @query
 def a12_mean_of_means(t: Tables) -> DataFrame:
     means = ["avg_hours_positive", "avg_hours_negative"]
-    joined = _ratings(t).select("item_id", "owner_name").join(
-        _contrast(t).select("item_id", *means), "item_id"
+    summary = _stored_summary(t)
+    joined = _ratings(t, summary).select("item_id", "owner_name").join(
+        _contrast(t, summary).select("item_id", *means), "item_id"
     )
     return rounded(joined.groupBy("owner_name").agg(*[F.avg(c).alias(c) for c in means]))
 
@@ -888,8 +908,7 @@ def x01_normalised_texts(t: Tables) -> DataFrame:
 
 @query
 def x02_terms(t: Tables) -> DataFrame:
-    texts = terms.normalised_texts(_english(t), "review_text")
-    found = terms.exploded_terms(texts, ["doc_id"], "normalised")
+    found = terms.exploded_terms(_english(t), ["doc_id"], "review_text")
     return found.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("terms"), F.count_distinct("term").alias("distinct_terms")
     )
@@ -897,33 +916,27 @@ def x02_terms(t: Tables) -> DataFrame:
 
 @query
 def x02_term_counts(t: Tables) -> DataFrame:
-    texts = terms.normalised_texts(_english(t), "review_text")
-    return terms.term_totals(terms.exploded_terms(texts, ["grp"], "normalised"), "grp")
+    return terms.term_totals(terms.exploded_terms(_english(t), ["grp"], "review_text"), "grp")
 
 
 @query
 def x03_vocabulary(t: Tables) -> DataFrame:
-    texts = terms.normalised_texts(_english(t), "review_text")
-    totals = terms.term_totals(terms.exploded_terms(texts, ["grp"], "normalised"), "grp")
-    return terms.vocabulary(totals, "grp")
+    return terms.vocabulary(x02_term_counts(t), "grp")
 
 
 @query
 def x04_tfidf(t: Tables) -> DataFrame:
-    texts = terms.normalised_texts(_english(t), "review_text")
-    return rounded(terms.tfidf(texts, "grp", "doc_id", "normalised"))
+    return rounded(terms.tfidf(_english(t), "grp", "doc_id", "review_text"))
 
 
 @query
 def x05_keywords_alphabetical(t: Tables) -> DataFrame:
-    texts = terms.normalised_texts(_english(t), "review_text")
-    return terms.alphabetical_keywords(texts, "grp", "normalised")
+    return terms.alphabetical_keywords(_english(t), "grp", "review_text")
 
 
 @query
 def x05_keywords_by_weight(t: Tables) -> DataFrame:
-    texts = terms.normalised_texts(_english(t), "review_text")
-    return terms.weighted_keywords(texts, "grp", "doc_id", "normalised")
+    return terms.weighted_keywords(_english(t), "grp", "doc_id", "review_text")
 
 
 @query
@@ -1085,7 +1098,12 @@ def q24_owner_ranking(t: Tables) -> DataFrame:
 
 @query
 def q25_owner_engagement_contrast(t: Tables) -> DataFrame:
-    return rounded(owners.owner_engagement_contrast(_ratings(t), _contrast(t), _performance(t)))
+    summary = _stored_summary(t)
+    return rounded(
+        owners.owner_engagement_contrast(
+            _ratings(t, summary), _contrast(t, summary), _performance(t, summary)
+        )
+    )
 
 
 @query
@@ -1095,13 +1113,19 @@ def q26_category_timeline_dense(t: Tables) -> DataFrame:
 
 @query
 def q27_negative_hours_cdf(t: Tables) -> DataFrame:
-    return rounded(items.negative_hours_cdf(_negativity(t), _contrast(t)))
+    summary = _stored_summary(t)
+    return rounded(items.negative_hours_cdf(_negativity(t, summary), _contrast(t, summary)))
 
 
 @query
 def q28_kpi_summary(t: Tables) -> DataFrame:
     split = reviews.flag_split(t.reviews())
-    return rounded(feeds.kpi_summary(split, _ratings(t), _performance(t), _volume(t)))
+    summary = _stored_summary(t)
+    return rounded(
+        feeds.kpi_summary(
+            split, _ratings(t, summary), _performance(t, summary), _volume(t, summary)
+        )
+    )
 
 
 @query

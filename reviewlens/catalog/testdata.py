@@ -7,7 +7,7 @@ document of a review is the one numbered by a fifteenth of its order key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Thresholds that leave results on the driver tables; the library defaults
@@ -24,6 +24,12 @@ OWNER_REVIEWS = 2_500
 CLIP_HOURS = 900.0
 
 
+def _epoch_seconds(moment: Column) -> Column:
+    """Unix seconds of a time without zone, read as UTC whatever the session zone."""
+    days = F.unix_date(moment.cast("date")).cast("bigint")
+    return days * 86_400 + F.hour(moment) * 3_600 + F.minute(moment) * 60 + F.second(moment)
+
+
 class Tables:
     """Canonical frames over one folder of driver tables."""
 
@@ -44,10 +50,7 @@ class Tables:
             F.col("l_extendedprice").alias("minutes_at_review"),
             F.col("l_quantity").alias("items_owned"),
             (F.col("l_linestatus") == "F").alias("early_access"),
-            F.expr(
-                "timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00',"
-                " CAST(l_shipdate AS TIMESTAMP_NTZ))"
-            ).alias("created_at"),
+            _epoch_seconds(F.col("l_shipdate")).alias("created_at"),
         ]
         if author:
             orders = self.raw("orders").select("o_orderkey", "o_custkey")

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Slots for a bridge to a large dimension, where one item may have very many
+# members.  For a small dimension one slot is enough: after equal pairs are
+# merged an item has at most one row per label.
 SALTS = 8
 
 
@@ -27,12 +30,14 @@ def item_labels(bridge: DataFrame, dimension: DataFrame, on: str, label: str) ->
     )
 
 
-def join_labels(summary: DataFrame, labels: DataFrame, label: str, salts: int = SALTS) -> DataFrame:
+def join_labels(summary: DataFrame, labels: DataFrame, label: str, salts: int = 1) -> DataFrame:
     """Item rows ⋈ item labels.
 
-    An item may hold a large share of all labels, so label rows are spread over
-    ``salts`` slots by their label and each item row is repeated per slot.
+    With ``salts`` above one the label rows of an item are spread over that
+    many slots by their label, and each item row is repeated per slot.
     """
+    if salts == 1:
+        return summary.join(labels, "item_id")
     slot = "_slot"
     spread = labels.withColumn(slot, F.pmod(F.xxhash64(label), F.lit(salts)).cast("int"))
     slots = F.explode(F.array(*[F.lit(i) for i in range(salts)]))
@@ -45,7 +50,7 @@ def sum_by_label(
     label: str,
     sums: list[str],
     keys: tuple[str, ...] = (),
-    salts: int = SALTS,
+    salts: int = 1,
 ) -> DataFrame:
     """Additive measures per label (and further keys of the summary).
 

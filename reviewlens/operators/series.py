@@ -50,6 +50,9 @@ def dense_grid(df: DataFrame, index: str, category: str, value: str, fill=0) ->
     The categories of a series are few (a top-k or a dimension).  They travel
     as one array and are exploded per index value, so there is no cross join.
     """
+    # The filter makes all uses below need the same columns, so that Spark
+    # computes the input once.
+    df = df.select(index, category, value).filter(F.col(value).isNotNull())
     categories = df.select(F.array_sort(F.collect_set(category))).scalar()
     grid = (
         df.select(index)
@@ -57,6 +60,6 @@ def dense_grid(df: DataFrame, index: str, category: str, value: str, fill=0) ->
         .withColumn("_categories", categories)
         .select(index, F.explode("_categories").alias(category))
     )
-    return grid.join(df.select(index, category, value), [index, category], "left").withColumn(
+    return grid.join(df, [index, category], "left").withColumn(
         value, F.coalesce(F.col(value), F.lit(fill))
     )

@@ -41,11 +41,32 @@ def normalised_texts(
 
 
 def exploded_terms(
-    texts: DataFrame, keys: list[str], normalised: str, stop_words: Iterable[str] = STOP_WORDS
+    df: DataFrame,
+    keys: list[str],
+    text: str,
+    stop_words: Iterable[str] = STOP_WORDS,
+    longer_than: int = MIN_TEXT_LENGTH,
+) -> DataFrame:
+    """One row per occurrence of a word or a pair of neighbouring words.
+
+    Texts that are too short give no rows.  The length is tested inside the
+    projection and not as a filter, which Spark would push below it and then
+    normalise every text twice.
+    """
+    usable = F.when(is_long_enough("_text", longer_than), words("_text", stop_words))
+    return (
+        df.select(*keys, normalise_text(text).alias("_text"))
+        .select(*keys, usable.alias("_words"))
+        .select(*keys, F.explode(unigrams_and_bigrams("_words")).alias("term"))
+    )
+
+
+def usable_texts(
+    df: DataFrame, group: str, text: str, longer_than: int = MIN_TEXT_LENGTH
 ) -> DataFrame:
-    """One row per occurrence of a word or a pair of neighbouring words."""
-    tokens = texts.select(*keys, words(normalised, stop_words).alias("_words"))
-    return tokens.select(*keys, F.explode(unigrams_and_bigrams("_words")).alias("term"))
+    """Texts per group that are long enough; a group with none counts zero."""
+    usable = is_long_enough(normalise_text(text), longer_than)
+    return df.groupBy(group).agg(F.count_if(usable).alias("texts"))
 
 
 def term_totals(terms: DataFrame, group: str) -> DataFrame:
@@ -58,12 +79,13 @@ def vocabulary(totals: DataFrame, group: str, size: int = VOCABULARY_SIZE) -> Da
 
 
 def tfidf(
-    texts: DataFrame,
+    df: DataFrame,
     group: str,
     key: str,
-    normalised: str,
+    text: str,
     size: int = VOCABULARY_SIZE,
     stop_words: Iterable[str] = STOP_WORDS,
+    longer_than: int = MIN_TEXT_LENGTH,
 ) -> DataFrame:
     """TF-IDF weight of each vocabulary term in each text.
 
@@ -71,14 +93,14 @@ def tfidf(
     group, and unit length per text over the group's vocabulary.
     """
     per_text = (
-        exploded_terms(texts, [group, key], normalised, stop_words)
+        exploded_terms(df, [group, key], text, stop_words, longer_than)
         .groupBy(group, key, "term")
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
     per_term = per_text.groupBy(group, "term").agg(
         F.sum("occurrences").alias("total"), F.count(F.lit(1)).alias("texts_with_term")
     )
-    group_sizes = texts.groupBy(group).agg(F.count(F.lit(1)).alias("texts"))
+    group_sizes = usable_texts(df, group, text, longer_than)
     idf = F.log((F.col("texts") + 1) / (F.col("texts_with_term") + 1)) + 1
     known = vocabulary(per_term, group, size).join(group_sizes, group).select(
         group, "term", idf.alias("idf")
@@ -95,16 +117,18 @@ def tfidf(
 
 
 def alphabetical_keywords(
-    texts: DataFrame,
+    df: DataFrame,
     group: str,
-    normalised: str,
+    text: str,
     k: int = KEYWORDS,
     size: int = VOCABULARY_SIZE,
     stop_words: Iterable[str] = STOP_WORDS,
+    longer_than: int = MIN_TEXT_LENGTH,
     name: str = "keywords",
 ) -> DataFrame:
     """First k terms, in alphabetical order, of each group's vocabulary."""
-    totals = term_totals(exploded_terms(texts, [group], normalised, stop_words), group)
+    totals = term_totals(exploded_terms(df, [group], text, stop_words, longer_than), group)
+    # At most `size` rows per group are left to order.
     order = Window.partitionBy(group).orderBy("term")
     first = (
         vocabulary(totals, group, size)
@@ -115,13 +139,14 @@ def alphabetical_keywords(
 
 
 def weighted_keywords(
-    texts: DataFrame,
+    df: DataFrame,
     group: str,
     key: str,
-    normalised: str,
+    text: str,
     k: int = KEYWORDS,
     size: int = VOCABULARY_SIZE,
     stop_words: Iterable[str] = STOP_WORDS,
+    longer_than: int = MIN_TEXT_LENGTH,
     name: str = "keywords",
 ) -> DataFrame:
     """The k terms of each group with the largest mean TF-IDF weight.
@@ -129,12 +154,11 @@ def weighted_keywords(
     Weights are compared at nine decimals so that the order does not depend on
     the order of summation.
     """
-    weights = tfidf(texts, group, key, normalised, size, stop_words)
-    sizes = texts.groupBy(group).agg(F.count(F.lit(1)).alias("texts"))
+    weights = tfidf(df, group, key, text, size, stop_words, longer_than)
     means = (
         weights.groupBy(group, "term")
         .agg(F.sum("weight").alias("weight"))
-        .join(sizes, group)
+        .join(usable_texts(df, group, text, longer_than), group)
         .withColumn("weight", F.round(F.col("weight") / F.col("texts"), 9))
     )
     return ranked_text(
@@ -164,15 +188,12 @@ def group_keywords(
     needs a unique ``key``) gives the most relevant terms instead.
     """
     stop_words = tuple(stop_words)
-    columns = [group, text] if key is None else [group, key, text]
-    normalised = df.select(*columns).withColumn("normalised", normalise_text(text))
-    usable = is_long_enough("normalised", longer_than)
-    sizes = normalised.groupBy(group).agg(F.count_if(usable).alias("texts"))
-    texts = normalised.filter(usable)
+    limits = {"k": k, "size": size, "stop_words": stop_words, "longer_than": longer_than}
     if by_weight:
-        found = weighted_keywords(texts, group, key, "normalised", k, size, stop_words, name)
+        found = weighted_keywords(df, group, key, text, name=name, **limits)
     else:
-        found = alphabetical_keywords(texts, group, "normalised", k, size, stop_words, name)
+        found = alphabetical_keywords(df, group, text, name=name, **limits)
+    sizes = usable_texts(df, group, text, longer_than)
     label = F.when(F.col("texts") < min_texts, F.lit(few_label)).otherwise(
         F.coalesce(F.col(name), F.lit(empty_label))
     )

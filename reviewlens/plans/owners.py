@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions.measures import cap, ratio
-from reviewlens.operators.members import item_labels, sum_by_label
+from reviewlens.operators.members import SALTS, item_labels, sum_by_label
 from reviewlens.operators.ranking import top_k
 from reviewlens.operators.restrict import keep_known
 
@@ -24,10 +24,15 @@ def owner_performance(
     min_items: int = 3,
     min_reviews: int = 200,
 ) -> DataFrame:
-    """Items, reviews, share of up-votes and mean hours per owner name."""
+    """Items, reviews, share of up-votes and mean hours per owner name.
+
+    Owners are many, so the owners of one item are spread over several tasks.
+    """
     sums = ["reviews", "rows", "positive", "hours_sum", "hours_rows"]
     return (
-        sum_by_label(keep_known(summary, items, "item_id"), labels, "owner_name", sums)
+        sum_by_label(
+            keep_known(summary, items, "item_id"), labels, "owner_name", sums, salts=SALTS
+        )
         .filter((F.col("items") >= min_items) & (F.col("reviews") >= min_reviews))
         .select(
             "owner_name",

@@ -105,7 +105,7 @@ def _timeline(t: Tables) -> DataFrame:
 
 
 def _daily(t: Tables) -> DataFrame:
-    return reviews.daily_volume(t.reviews(), td.DAY_AT_LEAST)
+    return reviews.daily_volume(t.reviews(), td.DAY_AT_LEAST, ordered=False)
 
 
 def _anomalies(t: Tables) -> DataFrame:
@@ -121,8 +121,8 @@ def _top_items(t: Tables) -> DataFrame:
 
 
 def _day_keywords(t: Tables) -> DataFrame:
-    said = anomalies.reviews_on(t.reviews(text=True), _flagged(t))
-    return anomalies.keywords(said, "review_date", language="en")
+    flagged = anomalies.reviews_on(t.reviews(), _flagged(t)).filter(~F.col("recommended"))
+    return anomalies.keywords(t.with_text(flagged), "review_date", language="en")
 
 
 def _profiles(t: Tables) -> DataFrame:
@@ -324,7 +324,7 @@ def p05_conjunction(t: Tables) -> DataFrame:
 def p06_non_empty_text(t: Tables) -> DataFrame:
     letters = F.regexp_replace("text", "[A-Za-z]", "")
     return (
-        t.raw("documents")
+        t.documents()
         .filter(labels.non_empty("text") & labels.non_empty(letters))
         .groupBy("lang")
         .agg(F.count(F.lit(1)).alias("texts"))
@@ -999,7 +999,7 @@ def q10_user_profiles(t: Tables) -> DataFrame:
 
 @query
 def q11_daily_volume(t: Tables) -> DataFrame:
-    return _daily(t)
+    return reviews.daily_volume(t.reviews(), td.DAY_AT_LEAST)
 
 
 @query

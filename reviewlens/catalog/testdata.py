@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlens.sources.readers import spread
+
 # Thresholds that leave results on the driver tables; the library defaults
 # would empty several of them.
 ORDERS_PER_DOCUMENT = 15
@@ -39,8 +41,11 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def reviews(self, author: bool = False, text: bool = False) -> DataFrame:
-        """The fact.  Author and text come from joins and only where they are needed."""
+    def documents(self) -> DataFrame:
+        return spread(self.raw("documents"))
+
+    def reviews(self, author: bool = False) -> DataFrame:
+        """The fact.  The author comes from a join and only where it is needed."""
         lines = self.raw("lineitem")
         columns = [
             F.col("l_orderkey").alias("review_id"),
@@ -56,17 +61,16 @@ class Tables:
             orders = self.raw("orders").select("o_orderkey", "o_custkey")
             lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             columns.append(F.col("o_custkey").alias("author_id"))
-        if text:
-            documents = self.raw("documents").select("doc_id", "lang", "text")
-            number = F.expr(f"l_orderkey DIV {ORDERS_PER_DOCUMENT}")
-            lines = lines.join(documents, number == F.col("doc_id"))
-            columns += [
-                F.col("lang").alias("language"),
-                F.col("text").alias("review_text"),
-                F.col("l_linenumber").alias("line_number"),
-            ]
         return lines.select(*columns)
 
+    def with_text(self, reviews: DataFrame) -> DataFrame:
+        """Reviews with language and text.  Restrict the reviews first: texts are wide."""
+        documents = self.documents().select(
+            "doc_id", F.col("lang").alias("language"), F.col("text").alias("review_text")
+        )
+        number = F.expr(f"review_id DIV {ORDERS_PER_DOCUMENT}")
+        return reviews.join(documents, number == F.col("doc_id")).drop("doc_id")
+
     def items(self) -> DataFrame:
         return self.raw("part").select(
             F.col("p_partkey").alias("item_id"),
@@ -108,7 +112,7 @@ class Tables:
         """Documents by source; a document counts as negative when labelled toxic."""
         labels = self.raw("labels").select("doc_id", "toxic")
         return (
-            self.raw("documents")
+            self.documents()
             .join(labels, "doc_id", "left")
             .select(
                 "doc_id",

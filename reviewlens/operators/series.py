@@ -30,10 +30,18 @@ def rolling_band(
     """
     frame = Window.partitionBy(*by).orderBy(order).rowsBetween(-(rows // 2), (rows - 1) // 2)
     enough = F.count(value).over(frame) >= min_rows
+    # Equal values have exactly their value as mean and no deviation; rounding
+    # in the sums must not put a flat series above its own band.
+    lowest = F.min(value).over(frame)
+    flat = lowest == F.max(value).over(frame)
+    average = F.when(flat, lowest).otherwise(F.avg(value).over(frame))
+    deviation = F.when(flat & (F.count(value).over(frame) > 1), F.lit(0.0)).otherwise(
+        F.stddev_samp(value).over(frame)
+    )
     mean, sd = F.col("rolling_mean"), F.col("rolling_std")
     return (
-        df.withColumn("rolling_mean", F.when(enough, F.avg(value).over(frame)))
-        .withColumn("rolling_std", F.when(enough, F.stddev_samp(value).over(frame)))
+        df.withColumn("rolling_mean", F.when(enough, average))
+        .withColumn("rolling_std", F.when(enough, deviation))
         .withColumn("lower_band", mean - sd * width)
         .withColumn("upper_band", mean + sd * width)
     )

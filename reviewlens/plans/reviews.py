@@ -38,9 +38,12 @@ def log_hours_sample(
     )
 
 
-def daily_volume(reviews: DataFrame, at_least: int = 100) -> DataFrame:
-    """Reviews, down-votes and up-votes per UTC day with enough reviews."""
-    return (
+def daily_volume(reviews: DataFrame, at_least: int = 100, ordered: bool = True) -> DataFrame:
+    """Reviews, down-votes and up-votes per UTC day with enough reviews.
+
+    ``ordered=False`` leaves out the final sort, for use in another step.
+    """
+    days = (
         reviews.withColumn("review_date", epoch_to_date("created_at"))
         .filter(F.col("review_date").isNotNull())
         .groupBy("review_date")
@@ -50,5 +53,5 @@ def daily_volume(reviews: DataFrame, at_least: int = 100) -> DataFrame:
             count_where("recommended").alias("positive"),
         )
         .filter(F.col("total") >= at_least)
-        .orderBy("review_date")
     )
+    return days.orderBy("review_date") if ordered else days

@@ -23,6 +23,16 @@ def read_table(
     return df if columns is None else df.select(*columns)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small table over all cores, for work that is heavy per row.
+
+    A file with one row group is read by one task.  A table with at least as
+    many splits as there are cores is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_parts(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A fact stored in several Parquet files or tables, as one table.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,8 +58,6 @@ def hours_distribution(sample: DataFrame, bins: int = 24) -> tuple[DataFrame, Da
 
 def log_tick(hours: float) -> float:
     """Position of an hour value on the log axis."""
-    import math
-
     return math.log1p(hours)
 
 

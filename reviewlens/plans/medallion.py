@@ -15,6 +15,7 @@ from reviewlens.functions.words import STOP_WORDS
 from reviewlens.operators.rollups import item_month_summary, item_summary
 from reviewlens.plans import anomalies, authors, categories, feeds, items, owners, reviews
 from reviewlens.schemas import CANONICAL_TABLES, RAW_SCHEMAS, canonical_tables
+from reviewlens.sources import files
 from reviewlens.sources.files import scratch_folder
 from reviewlens.sources.ingest import ingest_folder
 from reviewlens.sources.readers import load_tables, read_parts, read_table
@@ -135,18 +136,18 @@ def build_gold(
 ) -> list[str]:
     """Write the gold tables; returns their names.
 
-    The item summary is written once to the shared scratch folder and read by
-    every table derived from it.
+    The item summary is written once to the shared scratch folder, read by
+    every table derived from it, and removed at the end.
     """
     tables = load_silver(spark, silver_folder)
-    summary = store(
-        item_summary(tables["reviews"]), f"{scratch_folder(spark)}/item_summary.parquet"
-    )
+    scratch = scratch_folder(spark)
+    summary = store(item_summary(tables["reviews"]), f"{scratch}/item_summary.parquet")
     written = []
     for name, df in gold_frames(tables, limits, summary).items():
         table = GOLD_TABLES[name][0]
         write_balanced(published(df, name), f"{gold_folder}/{table}.parquet")
         written.append(table)
+    files.delete(spark, scratch)
     return written
 
 

@@ -18,8 +18,7 @@ FACT = (
 
 def fact(spark, rows):
     """Rows given as dicts; missing columns are null."""
-    names = [c.split()[0] for c in FACT.split(", ")]
-    names = [n.strip() for part in FACT.split(",") for n in [part.split()[0]]]
+    names = [column.split()[0] for column in FACT.split(",")]
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], FACT)
 
 

@@ -26,6 +26,8 @@ VOCABULARY_SIZE = 60
 KEYWORDS = 7
 MIN_TEXTS = 3
 SEPARATOR = ", "
+USABLE_MARK = "+"
+SHORT_MARK = "-"
 
 # Labels of groups without keywords, as the published report has them.
 FEW_TEXTS_LABEL = "Pocas reseñas en inglés"
@@ -46,18 +48,28 @@ def exploded_terms(
     text: str,
     stop_words: Iterable[str] = STOP_WORDS,
     longer_than: int = MIN_TEXT_LENGTH,
+    mark_texts: bool = False,
 ) -> DataFrame:
     """One row per occurrence of a word or a pair of neighbouring words.
 
     Texts that are too short give no rows.  The length is tested inside the
     projection and not as a filter, which Spark would push below it and then
     normalise every text twice.
+
+    With ``mark_texts`` every text also gives one row with a marker for its
+    term, which lets one pass count texts and terms.  Markers are not made of
+    letters, so no term equals one.
     """
-    usable = F.when(is_long_enough("_text", longer_than), words("_text", stop_words))
+    long_enough = is_long_enough("_text", longer_than)
+    found = unigrams_and_bigrams("_words")
+    if mark_texts:
+        found = F.when(
+            F.col("_words").isNotNull(), F.concat(found, F.array(F.lit(USABLE_MARK)))
+        ).otherwise(F.array(F.lit(SHORT_MARK)))
     return (
         df.select(*keys, normalise_text(text).alias("_text"))
-        .select(*keys, usable.alias("_words"))
-        .select(*keys, F.explode(unigrams_and_bigrams("_words")).alias("term"))
+        .select(*keys, F.when(long_enough, words("_text", stop_words)).alias("_words"))
+        .select(*keys, F.explode(found).alias("term"))
     )
 
 
@@ -138,6 +150,37 @@ def alphabetical_keywords(
     return ranked_text(first, group, "rank", "term", SEPARATOR, name)
 
 
+def _sizes_and_keywords(
+    df: DataFrame,
+    group: str,
+    text: str,
+    k: int,
+    size: int,
+    stop_words: Iterable[str],
+    longer_than: int,
+    name: str,
+) -> DataFrame:
+    """Usable texts and alphabetical keywords per group, from one pass over the texts."""
+    marked = exploded_terms(df, [group], text, stop_words, longer_than, mark_texts=True)
+    is_mark = F.col("term").isin(USABLE_MARK, SHORT_MARK)
+    order = Window.partitionBy(group, "_mark").orderBy(F.desc("total"), "term")
+    kept = (
+        term_totals(marked, group)
+        .withColumn("_mark", is_mark)
+        .withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= size)
+    )
+    # At most `size` terms and two marks per group are left.
+    found = F.array_sort(F.collect_list(F.when(~F.col("_mark"), F.col("term"))))
+    first = F.slice(found, 1, k)
+    return kept.groupBy(group).agg(
+        F.coalesce(F.max(F.when(F.col("term") == USABLE_MARK, F.col("total"))), F.lit(0)).alias(
+            "texts"
+        ),
+        F.when(F.size(first) > 0, F.array_join(first, SEPARATOR)).alias(name),
+    )
+
+
 def weighted_keywords(
     df: DataFrame,
     group: str,
@@ -187,14 +230,16 @@ def group_keywords(
     Alphabetical keywords are the published behaviour; ``by_weight`` (which
     needs a unique ``key``) gives the most relevant terms instead.
     """
-    stop_words = tuple(stop_words)
-    limits = {"k": k, "size": size, "stop_words": stop_words, "longer_than": longer_than}
+    limits = {
+        "k": k, "size": size, "stop_words": tuple(stop_words), "longer_than": longer_than,
+        "name": name,
+    }
     if by_weight:
-        found = weighted_keywords(df, group, key, text, name=name, **limits)
+        sizes = usable_texts(df, group, text, longer_than)
+        found = sizes.join(weighted_keywords(df, group, key, text, **limits), group, "left")
     else:
-        found = alphabetical_keywords(df, group, text, name=name, **limits)
-    sizes = usable_texts(df, group, text, longer_than)
+        found = _sizes_and_keywords(df, group, text, **limits)
     label = F.when(F.col("texts") < min_texts, F.lit(few_label)).otherwise(
         F.coalesce(F.col(name), F.lit(empty_label))
     )
-    return sizes.join(found, group, "left").select(group, "texts", label.alias(name))
+    return found.select(group, "texts", label.alias(name))

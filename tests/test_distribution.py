@@ -24,7 +24,7 @@ def uneven():
     return frame
 
 
-@pytest.mark.parametrize("slots", [2, 16, 64])
+@pytest.mark.parametrize("slots", [2, 16, 64, 1024])
 def test_ecdf(spark, uneven, slots):
     df = spark.createDataFrame(uneven).repartition(5)
     ours = dist.ecdf(df, "g", "x", "k", slots=slots).toPandas().sort_values("k")
@@ -34,7 +34,7 @@ def test_ecdf(spark, uneven, slots):
     assert np.allclose(ours["cdf"].to_numpy(), expected.to_numpy())
 
 
-@pytest.mark.parametrize("slots", [2, 64])
+@pytest.mark.parametrize("slots", [2, 64, 500])
 def test_quantiles(spark, uneven, slots):
     df = spark.createDataFrame(uneven)
     wanted = {"low": 0.0, "q1": 0.25, "median": 0.5, "p99": 0.99, "high": 1.0}

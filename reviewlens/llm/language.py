@@ -9,7 +9,8 @@ language with the smallest estimate wins.
 Texts are normalised before (lower case, every run of other characters is one
 space).  The automata become one table of transitions, so a phrase is a walk
 from the root and a step is one lookup; missing transitions lead to where the
-character leads from the root and count a phrase.  Whole texts are parsed, cut
+character leads from the root and count a phrase.  A character that the sample
+lacks is a phrase by itself.  Whole texts are parsed, cut
 into blocks of ``BLOCK`` characters that advance together; a phrase ends at the
 end of its block.
 
@@ -93,17 +94,18 @@ class Languages:
         tables, self.roots, self.bits, base = [], [], [], 0
         for name in self.names:
             automaton = SuffixAutomaton(samples[name])
-            table = np.full((len(automaton.next), width), -1, np.int64)
+            dead = len(automaton.next)  # after a character that the sample lacks
+            table = np.full((dead + 1, width), -1, np.int64)
             for state, moves in enumerate(automaton.next):
                 for c, to in moves.items():
                     table[state, symbol[c]] = to
-            first = np.maximum(table[0], 0)
+            first = np.where(table[0] >= 0, table[0], dead)
             table = np.where(table >= 0, 2 * (base + table), 2 * (base + first) + 1)
             table[:, 0] = 2 * (base + np.arange(len(table)))
             tables.append(table)
             self.roots.append(base)
             self.bits.append(float(np.log2(max(2, len(samples[name])))))
-            base += len(automaton.next)
+            base += len(table)
         whole = np.concatenate(tables) if tables else np.zeros((0, width), np.int64)
         # rows are premultiplied by the width: position = row * width + symbol
         kind = np.int32 if 2 * whole.size < 2**31 else np.int64

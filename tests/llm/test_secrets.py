@@ -1,0 +1,79 @@
+import hashlib
+import random
+import re
+import string
+
+from reviewlens.llm import secret_scan
+from reviewlens.llm.queries import QUERIES
+from tests.llm.conftest import FOLDER, TRICKY
+
+PATTERNS = [
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+    ("access", r"AKIA[A-Z0-9]+"),
+    ("hex", r"[0-9a-f]+"),
+]
+
+
+def base_spans(text):
+    out = []
+    for k, (kind, pattern) in enumerate(PATTERNS):
+        for m in re.finditer(pattern, text or ""):
+            ok = len(m[2]) >= 6 if kind == "assign" else len(m[0]) >= (20 if kind == "access" else 24)
+            if ok:
+                out.append((m.start(), k, m.end(), m[0]))
+    return sorted(out)
+
+
+def texts(spark, rows):
+    return spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+
+
+def test_base_spans_equal_regular_expressions(spark, tricky):
+    got = secret_scan.find_spans(tricky).collect()
+    base = sorted(
+        (r["doc_id"] is None, r["doc_id"] or 0, [tuple(s) for s in r["spans"] if s["kind"] < 3]) for r in got
+    )
+    assert base == sorted((r[0] is None, r[0] or 0, base_spans(r[1])) for r in TRICKY)
+
+
+def test_query(spark, documents):
+    given = {r["doc_id"]: base_spans(r["text"]) for r in documents.collect()}
+    rows = QUERIES["op5_secret_randomness"](spark, FOLDER).collect()
+    assert len(rows) == len(given)
+    for r in rows:
+        own = given[r["doc_id"]]
+        text = ",".join(f"{PATTERNS[k][0]}:{a}:{b}" for a, k, b, _ in own)
+        assert r["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(s[1] == k for s in own) for k in range(3)]
+
+
+def test_random_keys_are_found_and_text_is_not(spark):
+    draw = random.Random(3)
+    alphabets = [string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_", "0123456789ABCDEF", string.ascii_uppercase + "234567"]
+    keys = ["".join(draw.choices(a, k=48)) for a in alphabets for _ in range(25)]
+    plain = ["the quick brown fox jumps over the lazy dog".replace(" ", j) * 2 for j in ("", "-", "_", "/")] * 25
+    plain += ["a" * 40, "abcdefghijklmnopqrstuvwxyzabcdefghijklmnop", "x" * 500, "AB" * 30, "1234567890" * 5] * 5
+    rows = secret_scan.find_spans(texts(spark, [f"see {x} there" for x in keys + plain])).collect()
+    found = {r["doc_id"] for r in rows if any(s["kind"] == 3 for s in r["spans"])}
+    hits = sum(k in found for k in range(len(keys)))
+    assert hits >= 0.9 * len(keys)
+    assert not found - set(range(len(keys)))
+    spans = {r["doc_id"]: r["spans"] for r in rows}
+    assert all(s["value"] == keys[k] and s["start"] == 4 for k in found for s in spans[k])
+
+
+def test_rows_that_only_random_text_has_are_kept(spark):
+    """With nothing but random strings, few are called text."""
+    draw = random.Random(4)
+    keys = ["".join(draw.choices(string.ascii_letters + string.digits + "+/", k=44)) for _ in range(300)]
+    rows = secret_scan.find_spans(texts(spark, keys)).collect()
+    assert sum(len(r["spans"]) == 1 for r in rows) >= 290
+
+
+def test_plan_runs_no_python(spark):
+    plan = secret_scan.find_spans(texts(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_empty_table(tricky):
+    assert secret_scan.find_spans(tricky.limit(0)).count() == 0

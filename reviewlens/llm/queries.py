@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import chat, contamination, language, mixing, packing, quality, secret_scan, warc
+from reviewlens.llm import chat, contamination, language, mixing, overlap, packing, quality, secret_scan, warc
 from reviewlens.llm.store import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,11 @@ def op5_secret_randomness(spark, folder):
     )
 
 
+@query
+def op6_ngram_jaccard_join(spark, folder):
+    return overlap.jaccard_groups(table(spark, folder, "documents"))
+
+
 @query
 def op7_token_ids_elias_fano(spark, folder):
     import public_tokenizers

@@ -120,8 +120,9 @@ def _describe(size: int):
                         pa.array(np.diff(starts)),
                         _binary(fragment_counts(hashed, starts)),
                         pa.nulls(docs, pa.int64()),
+                        part.column("text_hash"),
                     ],
-                    ["doc_id", "node", "n", "counts", "times"],
+                    ["doc_id", "node", "n", "counts", "times", "text_hash"],
                 )
                 value, times = np.unique(hashed, return_counts=True)
                 named = np.flatnonzero(times > 1)
@@ -134,8 +135,9 @@ def _describe(size: int):
                             pa.nulls(len(named), pa.int64()),
                             pa.nulls(len(named), pa.binary()),
                             pa.array(times[named]),
+                            pa.nulls(len(named), pa.int64()),
                         ],
-                        ["doc_id", "node", "n", "counts", "times"],
+                        ["doc_id", "node", "n", "counts", "times", "text_hash"],
                     )
 
     return run
@@ -228,8 +230,9 @@ class Join:
         self.texts = documents.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))
         self.kind = self.texts.schema["doc_id"].dataType.simpleString()
         described = stored(
-            self.texts.mapInArrow(
-                _describe(size), f"doc_id {self.kind}, node bigint, n bigint, counts binary, times bigint"
+            self.texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+                _describe(size),
+                f"doc_id {self.kind}, node bigint, n bigint, counts binary, times bigint, text_hash bigint",
             ),
             "join-documents",
         )
@@ -376,6 +379,23 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("group")).union(roots)
 
 
+def grouped_rows(documents: DataFrame, doc: str, text: str, size: int, percent: int) -> DataFrame:
+    """``doc_id, text_hash, n, group, component_id``; ``group`` is null for an empty set."""
+    join = Join(documents, doc, text, size, percent)
+    postings = join.postings()
+    first = join.links(join.leader_pairs(postings))
+    second = join.links(join.other_pairs(postings, components(first)))
+    groups = components(first.unionByName(second))
+    docs = join.docs.select("doc_id", "text_hash", "node", "n")
+    names = docs.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    names = names.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    least = names.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    label = names.join(least, "group").select("node", "group", "component_id")
+    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    out = docs.join(label, "node", "left").withColumn("component_id", own)
+    return out.select("doc_id", "text_hash", "n", "group", "component_id")
+
+
 def jaccard_groups(
     documents: DataFrame, doc: str = "doc_id", text: str = "text", size: int = NGRAM, percent: int = PERCENT
 ) -> DataFrame:
@@ -390,16 +410,41 @@ def jaccard_groups(
     Repeated rows are one node and give equal rows.  An empty table gives no
     rows.  Other columns are ignored.
     """
-    join = Join(documents, doc, text, size, percent)
-    postings = join.postings()
-    first = join.links(join.leader_pairs(postings))
-    second = join.links(join.other_pairs(postings, components(first)))
-    groups = components(first.unionByName(second))
-    docs = join.docs.select("doc_id", "node", "n")
-    names = docs.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    names = names.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
-    least = names.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    label = names.join(least, "group").select("node", "component_id")
-    out = docs.join(label, "node", "left")
-    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    rows = grouped_rows(documents, doc, text, size, percent)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(
+    documents: DataFrame, doc: str = "doc_id", text: str = "text", size: int = NGRAM, percent: int = PERCENT
+) -> DataFrame:
+    """The documents, all columns, with one row of each group of linked texts.
+
+    The row with the smallest id stays (no id counts as the largest, ties go to a
+    hash of the text; of equal rows any one).  Rows with an empty set all stay.
+    """
+    rows = stored(grouped_rows(documents, doc, text, size, percent), "join-groups").where("n > 0")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = rows.groupBy("group").agg(F.min(rank).alias("best"))
+    ranked = rows.join(best, "group").select("doc_id", "text_hash", (rank == F.col("best")).alias("stays"))
+    key = ["doc_id", "text_hash"]
+    removed = stored(ranked.where("not coalesce(stays, false)").select(*key).distinct(), "join-removed")
+    again = ranked.where("stays").groupBy(*key).agg(F.count("*").alias("rows")).where("rows > 1").select(*key)
+    again = stored(again, "join-again")
+
+    mark = "__join"
+    while any(c.startswith(mark) for c in documents.columns):
+        mark += "_"
+    hashed = documents.withColumn(mark, F.xxhash64(F.col(f"`{text}`")))
+
+    def matched(df: DataFrame, keys: DataFrame, kind: str) -> DataFrame:
+        keys = keys.select(F.col("doc_id").alias(f"{mark}_id"), F.col("text_hash").alias(f"{mark}_hash"))
+        if keys.count() <= BROADCAST_IDS:
+            keys = F.broadcast(keys)
+        same = F.col(f"`{doc}`").eqNullSafe(F.col(f"{mark}_id")) & (F.col(mark) == F.col(f"{mark}_hash"))
+        return df.join(keys, same, kind)
+
+    out = matched(hashed, removed, "left_anti")
+    if again.take(1):
+        one = matched(out, again, "left_semi").dropDuplicates([doc, mark])
+        out = matched(out, again, "left_anti").unionByName(one)
+    return out.drop(mark)

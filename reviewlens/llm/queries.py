@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import chat, contamination, language, mixing, overlap, packing, quality, secret_scan, warc
+from reviewlens.llm import chat, contamination, language, mixing, overlap, packing, quality, scoring, secret_scan, warc
 from reviewlens.llm.store import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,16 @@ def op2_quality_line_rules(spark, folder):
     return quality.quality(table(spark, folder, "documents"))
 
 
+@query
+def op3_lm_attention(spark, folder):
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    trained = scoring.train(documents.where(~scoring.held_out("doc_id")), vocabulary)
+    return scoring.score(documents, vocabulary, trained, keep=[scoring.held_out("doc_id").alias("held_out")])
+
+
 @query
 def op4_warc_index_first(spark, folder):
     archives, index = warc.write_archives(table(spark, folder, "pages"))

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlens.llm import quality
+
+from reviewlens.llm import contamination, mixing, overlap, packing, quality
 from reviewlens.llm.store import stored
 
 
@@ -18,7 +19,35 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: the one with the smallest id."""
+    return overlap.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item occurs."""
+    return contamination.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a document taken n times gives n rows, shards in shuffled order."""
+    return mixing.mix(docs, mixing.plan(docs))
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document of the mix, as read from the shards: id, start, tokens and checksum."""
+    import public_tokenizers
+
+    return packing.read_shards(*packing.write_shards(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard", ngram_jaccard),
+    ("decontamination", decontamination),
+    ("mixing_sources", mixing_sources),
+    ("token_ids", token_ids),
+]
 
 #: The last stage writes token ids, which SQL cannot express.
 ORACLE_SQL = None

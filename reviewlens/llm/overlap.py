@@ -36,9 +36,12 @@ from reviewlens.llm.store import share_code, stored
 
 NGRAM = 5
 PERCENT = 75
-#: Fragments of the order for exact counts, and for the bound before.
+#: Fragments of the order for exact counts.
 FRAGMENTS = 8
-BOUND_FRAGMENTS = 256
+#: For the bound before, a set has a fragment for about each two to four shingles, within these limits.
+LEAST_BITS, MOST_BITS = 6, 20
+#: Bytes of text that are worked on at once.
+SLICE = 4 << 20
 #: N-grams that go last in the order, at most, and how many a slice of text names.
 FREQUENT = 50_000
 NAMED = 2_000
@@ -91,18 +94,16 @@ def node_ids(hashed: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return W.mixed(total[starts[1:]] - total[starts[:-1]] + sizes).view(np.int64)
 
 
-def fragment_counts(hashed: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Shingles of each text in each of the bound's fragments; 255 stands for 255 or more."""
+def fragment_counts(hashed: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """For each text the shingles in each of its fragments, a byte each; 255 stands for 255 or more."""
+    sizes = np.diff(starts)
+    bits = np.clip(np.log2(np.maximum(sizes, 1)).astype(np.int64) - 1, LEAST_BITS, MOST_BITS)
+    begin = np.concatenate([[0], np.cumsum(np.where(sizes > 0, 1 << bits, 0))])
     rows = W.owners(starts)
-    cell = rows * BOUND_FRAGMENTS + (hashed >> np.uint64(55)).astype(np.int64)
-    counts = np.bincount(cell, minlength=(len(starts) - 1) * BOUND_FRAGMENTS)
-    return np.minimum(counts, 255).astype(np.uint8).reshape(-1, BOUND_FRAGMENTS)
-
-
-def _binary(rows: np.ndarray) -> pa.Array:
-    count, width = rows.shape
-    offsets = pa.py_buffer((np.arange(count + 1) * width).astype(np.int32))
-    return pa.BinaryArray.from_buffers(pa.binary(), count, [None, offsets, pa.py_buffer(rows.tobytes())])
+    cell = begin[rows] + (hashed >> (63 - bits[rows]).astype(np.uint64)).astype(np.int64)
+    counts = np.minimum(np.bincount(cell, minlength=int(begin[-1])), 255).astype(np.uint8)
+    offsets = pa.py_buffer(begin.astype(np.int32))
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, offsets, pa.py_buffer(counts.tobytes())])
 
 
 def _describe(size: int):
@@ -110,7 +111,7 @@ def _describe(size: int):
 
     def run(batches):
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE):
                 hashed, starts = shingle_sets(W.text_column(part.column("text")), size)
                 docs = part.num_rows
                 yield pa.RecordBatch.from_arrays(
@@ -118,7 +119,7 @@ def _describe(size: int):
                         part.column("doc_id"),
                         pa.array(node_ids(hashed, starts)),
                         pa.array(np.diff(starts)),
-                        _binary(fragment_counts(hashed, starts)),
+                        fragment_counts(hashed, starts),
                         pa.nulls(docs, pa.int64()),
                         part.column("text_hash"),
                     ],
@@ -161,7 +162,7 @@ def _prefixes(size: int, percent: int, frequent):
 
     def run(batches):
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE):
                 hashed, starts = shingle_sets(W.text_column(part.column("text")), size)
                 place, rows, last = _ordered(hashed, starts, frequent.value)
                 nodes, n = node_ids(hashed, starts), np.diff(starts)
@@ -190,7 +191,7 @@ def _fragments(size: int, frequent):
 
     def run(batches):
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE):
                 hashed, starts = shingle_sets(W.text_column(part.column("text")), size)
                 place, rows, _ = _ordered(hashed, starts, frequent.value)
                 fragment = np.where(place >= LAST, FRAGMENTS - 1, place // (LAST // (FRAGMENTS - 1) + 1))
@@ -210,13 +211,15 @@ def _fragments(size: int, frequent):
 
 
 def overlap_bound(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Most that two sets can share, from their counts per fragment."""
-    if not len(left):
-        return pd.Series([], dtype="int64")
-    a = np.frombuffer(b"".join(left), np.uint8).reshape(-1, BOUND_FRAGMENTS)
-    b = np.frombuffer(b"".join(right), np.uint8).reshape(-1, BOUND_FRAGMENTS)
-    least = np.minimum(a, b)
-    return pd.Series(np.where((least == 255).any(axis=1), 1 << 40, least.sum(axis=1, dtype=np.int64)))
+    """Most that two sets can share: the sum of the smaller counts over common fragments."""
+    out = np.empty(len(left), np.int64)
+    for k, (a, b) in enumerate(zip(left, right)):
+        a, b = (np.frombuffer(x, np.uint8) for x in (a, b))
+        open_ = ((a == 255).any() or (b == 255).any()) if len(a) else False
+        size = min(len(a), len(b))
+        a, b = (x.reshape(size, -1).sum(axis=1, dtype=np.int64) for x in (a, b))
+        out[k] = 1 << 40 if open_ else np.minimum(a, b).sum()
+    return pd.Series(out)
 
 
 class Join:
@@ -335,15 +338,21 @@ class Join:
         cut = texts.mapInArrow(
             _fragments(self.size, self.frequent), "node bigint, fragment int, places array<bigint>"
         )
-        cut = stored(cut.repartition(self.parts, "node"), "join-fragments").dropDuplicates(["node", "fragment"])
-        other = cut.withColumnsRenamed({"node": "other", "places": "places_m"})
-        partial = F.size(F.array_intersect("places", "places_m"))
+        # each fragment of a pair is a group of its own, to which both sets send that fragment
+        ends = bounded.select(
+            F.struct("node", "n", "other", "m").alias("pair"),
+            F.explode(F.array(F.struct(F.lit(0).alias("end"), "node"), F.struct(F.lit(1).alias("end"), F.col("other").alias("node")))).alias("e"),
+        ).select("pair", "e.end", "e.node")
+        if ends.count() <= BROADCAST_IDS:
+            ends = F.broadcast(ends)
+        side = lambda k: F.first(F.when(F.col("end") == k, F.col("places")), ignorenulls=True)
+        partial = cut.join(ends, "node").groupBy("pair", "fragment").agg(side(0).alias("a"), side(1).alias("b"))
+        partial = partial.where("a is not null and b is not null")
         overlap = (
-            bounded.select("node", "n", "other", "m")
-            .join(cut, "node")
-            .join(other, ["other", "fragment"])
-            .groupBy("node", "n", "other", "m")
-            .agg(F.sum(partial).alias("overlap"))
+            partial.select("pair", F.size(F.array_intersect("a", "b")).alias("shared"))
+            .groupBy("pair")
+            .agg(F.sum("shared").alias("overlap"))
+            .select("pair.*", "overlap")
         )
         union = F.col("n") + F.col("m") - F.col("overlap")
         return stored(

@@ -1,7 +1,9 @@
-"""Command line: ``python -m reviewlens silver|gold|feeds IN OUT``.
+"""Command line: ``python -m reviewlens silver|gold|feeds|report IN OUT``.
 
 Run it with ``spark-submit`` or plain Python; master and memory come from the
-deployment.  ``feeds`` reads a gold folder and writes one table per feed.
+deployment.  ``feeds`` reads a gold folder and writes one table per feed;
+``report`` reads a folder with ``silver`` and ``gold`` in it and writes the daily
+series with the items and keywords of its unusual days.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from reviewlens.sources.writers import write_balanced
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="reviewlens")
-    parser.add_argument("step", choices=["silver", "gold", "feeds"])
+    parser.add_argument("step", choices=["silver", "gold", "feeds", "report"])
     parser.add_argument("source")
     parser.add_argument("target")
     chosen = parser.parse_args()
@@ -24,6 +26,13 @@ def main() -> None:
         medallion.build_silver(spark, chosen.source, chosen.target)
     elif chosen.step == "gold":
         medallion.build_gold(spark, chosen.source, chosen.target)
+    elif chosen.step == "report":
+        tables = medallion.load_silver(spark, f"{chosen.source}/silver")
+        gold, missing = medallion.load_gold(spark, f"{chosen.source}/gold")
+        if "daily_volume" not in gold:
+            raise SystemExit("the gold folder has no daily series")
+        report = medallion.anomaly_report(tables, gold)
+        write_balanced(report, chosen.target, order=[report["review_date"]])
     else:
         gold, missing = medallion.load_gold(spark, chosen.source)
         if missing:

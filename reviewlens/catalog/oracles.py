@@ -14,13 +14,27 @@ from reviewlens.functions.labels import (
     TIER_MID,
 )
 from reviewlens.functions.sampling import hash_threshold
-from reviewlens.functions.words import STOP_WORDS
 from reviewlens.operators.terms import FEW_TEXTS_LABEL, NO_TERMS_LABEL
 from reviewlens.plans.anomalies import NO_ITEMS_LABEL
 
 TIER_CASE = f"""CASE WHEN is_free THEN '{TIER_FREE}' WHEN price < 15 THEN '{TIER_LOW}'
  WHEN price >= 50 THEN '{TIER_HIGH}' ELSE '{TIER_MID}' END"""
-STOP_LIST = ", ".join(f"'{w}'" for w in STOP_WORDS)
+# English stop words without the forms that hold an apostrophe,
+# written out here so that a wrong list in the library shows.
+STOP_LIST = ", ".join(
+    f"'{w}'"
+    for w in """
+    a about above after again against all am an and any are as at be because
+    been before being below between both but by can cannot could did do does
+    doing don down during each few for from further had has have having he her
+    here hers herself him himself his how i if in into is it its itself just me
+    more most my myself no nor not now of off on once only or other ought our
+    ours ourselves out over own s same she should so some such t than that the
+    their theirs them themselves then there these they this those through to
+    too under until up very was we were what when where which while who whom
+    why will with would you your yours yourself yourselves
+    """.split()
+)
 HOURS = "minutes_played / 60.0"
 
 
@@ -436,6 +450,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY review_date ORDER BY n DESC, ite
 ORACLES: dict[str, str] = {
     # Sources and sinks
     "s01_csv_scan": "SELECT * FROM documents",
+    "s01_csv_stray_quotes": """SELECT doc_id, CAST(n_chars AS VARCHAR) || '" wide' AS width, lang
+    FROM documents""",
+    "s02_ingest_extra_columns": """SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name,
+    CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation""",
     "s01_csv_scan_in_parallel": "SELECT * FROM documents",
     "s02_ingest_folder": "\nUNION ALL ".join(
         f"SELECT '{n}' AS table_name, '{n.title()}' AS display_name, count(*) AS \"rows\" FROM {n}"
@@ -532,6 +550,7 @@ ORACLES: dict[str, str] = {
     "p18_hash_sample": sql(
         f"SELECT review_id, item_id FROM reviews WHERE {in_sample('review_id', 0.05)}", "reviews"
     ),
+    "p18_bernoulli_sample": "SELECT true AS share_in_bounds, true AS rows_of_the_fact",
     # Joins
     "j01_aggregate_dimension": sql(
         """SELECT item_id, reviews, item_name FROM
@@ -613,6 +632,8 @@ ORACLES: dict[str, str] = {
     ),
     "a06_distinct_count": """SELECT l_suppkey, count(DISTINCT l_partkey) AS items
     FROM lineitem GROUP BY l_suppkey""",
+    "a06_distinct_count_approx": """SELECT l_suppkey, count(DISTINCT l_partkey) AS items,
+    true AS near FROM lineitem GROUP BY l_suppkey""",
     "a07_group_minimum": sql(
         "SELECT item_id, min(owner_id) AS owner_id FROM owner_bridge GROUP BY item_id",
         "owner_bridge",
@@ -654,6 +675,11 @@ ORACLES: dict[str, str] = {
         "ratings",
     ),
     "a16_box_summary": sql(box("negativity", "price_tier", "toxicity_percent", 4), "negativity"),
+    "a16_box_summary_approx": sql(
+        """SELECT price_tier, count(*) AS items, true AS q1_near, true AS median_near,
+        true AS q3_near FROM negativity GROUP BY price_tier""",
+        "negativity",
+    ),
     "a17_distribution_summary": sql(
         f"""SELECT vote, CAST(CASE WHEN v < 0 THEN 0 WHEN v >= 8 THEN 33
         ELSE floor(v / 0.25) + 1 END AS INTEGER) AS bin, count(*) AS n

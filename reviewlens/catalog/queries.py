@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewlens.catalog import testdata as td
 from reviewlens.catalog.testdata import Tables
@@ -163,6 +164,29 @@ def s01_csv_scan_in_parallel(t: Tables) -> DataFrame:
     return read_csv_in_parallel(t.spark, _documents_csv(t), t.raw("documents").schema)
 
 
+@query
+def s01_csv_stray_quotes(t: Tables) -> DataFrame:
+    """Inches without quoting, as review texts have them."""
+    path = f"{_scratch(t)}/inches.csv"
+    wide = F.concat(F.col("n_chars").cast("string"), F.lit('" wide')).alias("width")
+    t.raw("documents").select("doc_id", wide, "lang").write.options(
+        header=True, quote="", escapeQuotes=False
+    ).csv(path)
+    schema = T.StructType().add("doc_id", "long").add("width", "string").add("lang", "string")
+    return read_csv(t.spark, path, schema)
+
+
+@query
+def s02_ingest_extra_columns(t: Tables) -> DataFrame:
+    """A declared key in another case, and columns that no schema declares."""
+    folder = _scratch(t)
+    nations = t.raw("nation").select(F.col("n_nationkey").alias("N_NATIONKEY"), "n_name", "n_regionkey")
+    nations.write.options(header=True, escape='"').csv(f"{folder}/csv/nation.csv")
+    schemas = {"nation": T.StructType().add("n_nationkey", "long")}
+    tables = ingest.ingest_folder(t.spark, f"{folder}/csv", f"{folder}/tables", schemas)
+    return tables["nation"].select("n_nationkey", "n_name", "n_regionkey")
+
+
 @query
 def s02_ingest_folder(t: Tables) -> DataFrame:
     folder = _scratch(t)
@@ -417,7 +441,16 @@ def p18_hash_sample(t: Tables) -> DataFrame:
 
 @query
 def p18_bernoulli_sample(t: Tables) -> DataFrame:
-    return sampling.bernoulli_sample(t.reviews(), 0.05, seed=7).select("review_id", "item_id")
+    """Spark's own sample: its share within five deviations, its rows all of the fact."""
+    fact = t.reviews().select("review_id", "item_id")
+    taken = sampling.bernoulli_sample(fact, 0.05, seed=7)
+    total = fact.agg(F.count(F.lit(1))).scalar()
+    known = taken.join(fact.distinct(), ["review_id", "item_id"], "left_semi")
+    slack = 5 * F.sqrt(F.lit(0.05 * 0.95) * total)
+    return taken.agg(
+        (F.abs(F.count(F.lit(1)) - 0.05 * total) <= slack).alias("share_in_bounds"),
+        (F.count(F.lit(1)) == known.agg(F.count(F.lit(1))).scalar()).alias("rows_of_the_fact"),
+    )
 
 
 # Joins ---------------------------------------------------------------------
@@ -551,7 +584,12 @@ def a06_distinct_count(t: Tables) -> DataFrame:
 @query
 def a06_distinct_count_approx(t: Tables) -> DataFrame:
     return t.raw("lineitem").groupBy("l_suppkey").agg(
-        F.approx_count_distinct("l_partkey").alias("items")
+        F.count_distinct("l_partkey").alias("items"),
+        # five times the relative deviation that is asked for
+        (
+            F.abs(F.approx_count_distinct("l_partkey", 0.05) - F.count_distinct("l_partkey"))
+            <= 1 + 5 * 0.05 * F.count_distinct("l_partkey")
+        ).alias("near"),
     )
 
 
@@ -628,7 +666,17 @@ def a16_box_summary(t: Tables) -> DataFrame:
 @query
 def a16_box_summary_approx(t: Tables) -> DataFrame:
     probabilities = dict(zip(("q1", "median", "q3"), dist.QUARTILES))
-    return dist.quantiles_approx(_negativity(t), "price_tier", "toxicity_percent", probabilities)
+    found = dist.quantiles_approx(_negativity(t), "price_tier", "toxicity_percent", probabilities)
+    value, n = F.col("toxicity_percent"), F.count(F.lit(1))
+    # ranks within the accuracy asked for (1 in 10,000) and one row
+    near = [
+        (
+            (F.count_if(value <= F.col(name)) >= n * (p - 1e-4) - 1)
+            & (F.count_if(value < F.col(name)) <= n * (p + 1e-4) + 1)
+        ).alias(f"{name}_near")
+        for name, p in probabilities.items()
+    ]
+    return _negativity(t).join(found, "price_tier").groupBy("price_tier").agg(n.alias("items"), *near)
 
 
 @query

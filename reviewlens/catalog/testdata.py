@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.sources.readers import spread
-
 # Thresholds that leave results on the driver tables; the library defaults
 # would empty several of them.
 ORDERS_PER_DOCUMENT = 15
@@ -42,7 +40,7 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def documents(self) -> DataFrame:
-        return spread(self.raw("documents"))
+        return self.raw("documents")
 
     def reviews(self, author: bool = False) -> DataFrame:
         """The fact.  The author comes from a join and only where it is needed."""

@@ -12,22 +12,15 @@ from reviewlens.functions.measures import as_column
 MIN_TEXT_LENGTH = 10
 MIN_WORD_LENGTH = 2
 
-# English stop words.  Apostrophe forms cannot occur because
-# normalisation turns an apostrophe into a space.  Pass another list to the
-# functions below to use it instead.
-STOP_WORDS = tuple(
+def default_stop_words() -> tuple[str, ...]:
+    """Spark's English list.
+
+    Its forms with an apostrophe never occur, because normalisation turns an
+    apostrophe into a space.
     """
-    a about above after again against all am an and any are as at be because
-    been before being below between both but by can cannot could did do does
-    doing down during each few for from further had has have having he her
-    here hers herself him himself his how i if in into is it its itself me
-    more most my myself no nor not of off on once only or other ought our
-    ours ourselves out over own same she should so some such than that the
-    their theirs them themselves then there these they this those through to
-    too under until up very was we were what when where which while who whom
-    why with would you your yours yourself yourselves
-    """.split()
-)
+    from pyspark.ml.feature import StopWordsRemover
+
+    return tuple(w for w in StopWordsRemover.loadDefaultStopWords("english") if "'" not in w)
 
 
 def normalise_text(text: Column | str) -> Column:
@@ -43,9 +36,9 @@ def is_long_enough(normalised: Column | str, longer_than: int = MIN_TEXT_LENGTH)
     return stripped_length(normalised) > longer_than
 
 
-def words(normalised: Column | str, stop_words: Iterable[str] = STOP_WORDS) -> Column:
-    """Words of two letters or more in text order, without stop words."""
-    stop = sorted(set(stop_words))
+def words(normalised: Column | str, stop_words: Iterable[str] | None = None) -> Column:
+    """Words of two letters or more in text order, without stop words (Spark's English ones)."""
+    stop = sorted(set(default_stop_words() if stop_words is None else stop_words))
 
     def keep(word: Column) -> Column:
         long_enough = F.length(word) >= MIN_WORD_LENGTH

@@ -28,5 +28,9 @@ def keep_days(df: DataFrame, days: DataFrame, on: str) -> DataFrame:
 
 
 def keep_top(df: DataFrame, ranked: DataFrame, on: str) -> DataFrame:
-    """Rows whose ``on`` occurs in a top-k result; k rows, so it is broadcast."""
-    return df.join(F.broadcast(ranked.select(on)), on, "left_semi")
+    """Rows whose ``on`` occurs in a top-k result.
+
+    No hint: the result of a limit has a known small size, so Spark broadcasts
+    it, and any larger frame is shuffled.
+    """
+    return keep_known(df, ranked, on)

@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions.words import (
     MIN_TEXT_LENGTH,
-    STOP_WORDS,
     is_long_enough,
     normalise_text,
     unigrams_and_bigrams,
@@ -46,7 +45,7 @@ def exploded_terms(
     df: DataFrame,
     keys: list[str],
     text: str,
-    stop_words: Iterable[str] = STOP_WORDS,
+    stop_words: Iterable[str] | None = None,
     longer_than: int = MIN_TEXT_LENGTH,
     mark_texts: bool = False,
 ) -> DataFrame:
@@ -90,41 +89,87 @@ def vocabulary(totals: DataFrame, group: str, size: int = VOCABULARY_SIZE) -> Da
     return top_k_per_group(totals, group, "total", size, ["term"])
 
 
+def _counted(terms: Column) -> Column:
+    """Different terms of a text with their occurrences, from runs of the sorted terms."""
+    ordered = F.array_sort(terms)
+    return F.transform(
+        _run_starts(ordered),
+        lambda start, k: F.struct(
+            F.get(ordered, start).alias("term"),
+            (
+                F.coalesce(F.get(_run_starts(ordered), k + 1), F.size(ordered)) - start
+            ).cast("bigint").alias("occurrences"),
+        ),
+    )
+
+
+def _run_starts(ordered: Column) -> Column:
+    """Places, from 0, at which a new value begins in a sorted array."""
+    places = F.when(F.size(ordered) > 0, F.sequence(F.lit(0), F.size(ordered) - 1))
+    new = lambda k: (k == 0) | (F.get(ordered, k) != F.get(ordered, k - 1))
+    return F.filter(F.coalesce(places, F.array().cast("array<int>")), new)
+
+
 def tfidf(
     df: DataFrame,
     group: str,
     key: str,
     text: str,
     size: int = VOCABULARY_SIZE,
-    stop_words: Iterable[str] = STOP_WORDS,
+    stop_words: Iterable[str] | None = None,
     longer_than: int = MIN_TEXT_LENGTH,
 ) -> DataFrame:
     """TF-IDF weight of each vocabulary term in each text.
 
     Sublinear term frequency, smoothed inverse document frequency within the
     group, and unit length per text over the group's vocabulary.
+
+    Terms are counted inside the row.  Only counts per (group, term) are
+    shuffled, combined map-side; each text then meets its group's vocabulary,
+    at most ``size`` terms, and gives rows for those terms alone.
     """
+    long_enough = is_long_enough("_text", longer_than)
+    found = F.when(long_enough, unigrams_and_bigrams(words("_text", stop_words)))
     per_text = (
-        exploded_terms(df, [group, key], text, stop_words, longer_than)
-        .groupBy(group, key, "term")
-        .agg(F.count(F.lit(1)).alias("occurrences"))
+        df.select(group, key, normalise_text(text).alias("_text"))
+        .select(group, key, F.coalesce(found, F.array().cast("array<string>")).alias("_terms"))
+        .select(group, key, F.array_sort("_terms").alias("_terms"))
+        .select(group, key, _counted(F.col("_terms")).alias("_counts"))
     )
-    per_term = per_text.groupBy(group, "term").agg(
-        F.sum("occurrences").alias("total"), F.count(F.lit(1)).alias("texts_with_term")
+    per_term = (
+        per_text.select(group, F.explode("_counts").alias("_c"))
+        .groupBy(group, F.col("_c.term").alias("term"))
+        .agg(F.sum("_c.occurrences").alias("total"), F.count(F.lit(1)).alias("texts_with_term"))
     )
     group_sizes = usable_texts(df, group, text, longer_than)
     idf = F.log((F.col("texts") + 1) / (F.col("texts_with_term") + 1)) + 1
-    known = vocabulary(per_term, group, size).join(group_sizes, group).select(
-        group, "term", idf.alias("idf")
+    known = (
+        vocabulary(per_term, group, size)
+        .join(group_sizes, group)
+        .groupBy(group)
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", idf.alias("idf")))).alias("_idf"))
     )
-    raw = (F.log("occurrences") + 1) * F.col("idf")
-    # At most `size` rows per text, so a window over one text is small.
-    one_text = Window.partitionBy(group, key)
+
+    def weighed(c: Column) -> Column:
+        weight = F.element_at("_idf", c["term"])
+        return F.struct(
+            c["term"].alias("term"),
+            c["occurrences"].alias("occurrences"),
+            weight.alias("idf"),
+            ((F.log(c["occurrences"]) + 1) * weight).alias("raw"),
+        )
+
+    inside = F.filter("_counts", lambda c: F.map_contains_key("_idf", c["term"]))
+    squares = F.aggregate("_kept", F.lit(0.0), lambda total, c: total + c["raw"] * c["raw"])
     return (
-        per_text.join(known, [group, "term"])
-        .withColumn("_raw", raw)
-        .withColumn("weight", F.col("_raw") / F.sqrt(F.sum(F.col("_raw") ** 2).over(one_text)))
-        .select(group, key, "term", "occurrences", "idf", "weight")
+        per_text.join(known, group)
+        .select(group, key, F.transform(inside, weighed).alias("_kept"))
+        .withColumn("_length", F.sqrt(squares))
+        .select(group, key, "_length", F.explode("_kept").alias("_c"))
+        .select(
+            group, key, "_c.term", "_c.occurrences", "_c.idf",
+            (F.col("_c.raw") / F.col("_length")).alias("weight"),
+        )
     )
 
 
@@ -134,7 +179,7 @@ def alphabetical_keywords(
     text: str,
     k: int = KEYWORDS,
     size: int = VOCABULARY_SIZE,
-    stop_words: Iterable[str] = STOP_WORDS,
+    stop_words: Iterable[str] | None = None,
     longer_than: int = MIN_TEXT_LENGTH,
     name: str = "keywords",
 ) -> DataFrame:
@@ -156,7 +201,7 @@ def _sizes_and_keywords(
     text: str,
     k: int,
     size: int,
-    stop_words: Iterable[str],
+    stop_words: Iterable[str] | None,
     longer_than: int,
     name: str,
 ) -> DataFrame:
@@ -188,7 +233,7 @@ def weighted_keywords(
     text: str,
     k: int = KEYWORDS,
     size: int = VOCABULARY_SIZE,
-    stop_words: Iterable[str] = STOP_WORDS,
+    stop_words: Iterable[str] | None = None,
     longer_than: int = MIN_TEXT_LENGTH,
     name: str = "keywords",
 ) -> DataFrame:
@@ -222,7 +267,7 @@ def group_keywords(
     longer_than: int = MIN_TEXT_LENGTH,
     k: int = KEYWORDS,
     size: int = VOCABULARY_SIZE,
-    stop_words: Iterable[str] = STOP_WORDS,
+    stop_words: Iterable[str] | None = None,
     name: str = "keywords",
 ) -> DataFrame:
     """Keywords of every group that has a text; labels where there are too few.
@@ -231,10 +276,12 @@ def group_keywords(
     needs a unique ``key``) gives the most relevant terms instead.
     """
     limits = {
-        "k": k, "size": size, "stop_words": tuple(stop_words), "longer_than": longer_than,
+        "k": k, "size": size, "stop_words": stop_words, "longer_than": longer_than,
         "name": name,
     }
     if by_weight:
+        if key is None:
+            raise ValueError("keywords by weight need the key of a text")
         sizes = usable_texts(df, group, text, longer_than)
         found = sizes.join(weighted_keywords(df, group, key, text, **limits), group, "left")
     else:

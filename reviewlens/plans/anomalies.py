@@ -11,7 +11,6 @@ from reviewlens.functions.dates import epoch_to_date
 from reviewlens.functions.labels import grouped_count, non_empty
 from reviewlens.functions.measures import pct
 from reviewlens.functions.sampling import hash_sample
-from reviewlens.functions.words import STOP_WORDS
 from reviewlens.operators.ranking import ranked_text, top_k_per_group
 from reviewlens.operators.reshape import with_lookup
 from reviewlens.operators.restrict import keep_days
@@ -110,7 +109,7 @@ def keywords(
     by_weight: bool = False,
     fraction: float = 1.0,
     min_texts: int = MIN_TEXTS,
-    stop_words: Iterable[str] = STOP_WORDS,
+    stop_words: Iterable[str] | None = None,
 ) -> DataFrame:
     """Keywords of the negative texts of each group, such as a flagged day."""
     texts = negative_texts(reviews, language)

@@ -9,9 +9,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewlens.functions.words import STOP_WORDS
 from reviewlens.operators.rollups import item_month_summary, item_summary
 from reviewlens.plans import anomalies, authors, categories, feeds, items, owners, reviews
 from reviewlens.schemas import CANONICAL_TABLES, RAW_SCHEMAS, canonical_tables
@@ -42,6 +42,15 @@ GOLD_TABLES: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
+def gold_order(name: str) -> list[Column]:
+    """Published order of the rows of a gold table; empty where there is none."""
+    return {
+        "category_volume": [F.desc("review_count"), F.col("genre_name")],
+        "daily_volume": [F.col("review_date")],
+        "category_timeline": [F.col("review_month"), F.col("genre_name")],
+    }.get(name, [])
+
+
 @dataclass(frozen=True)
 class Thresholds:
     """Published limits of the gold tables."""
@@ -145,7 +154,9 @@ def build_gold(
     written = []
     for name, df in gold_frames(tables, limits, summary).items():
         table = GOLD_TABLES[name][0]
-        write_balanced(published(df, name), f"{gold_folder}/{table}.parquet")
+        write_balanced(
+            published(df, name), f"{gold_folder}/{table}.parquet", order=gold_order(name)
+        )
         written.append(table)
     files.delete(spark, scratch)
     return written
@@ -199,14 +210,26 @@ def anomaly_report(
     tables: dict[str, DataFrame],
     gold: dict[str, DataFrame],
     language: str = anomalies.LANGUAGE,
-    stop_words: Iterable[str] = STOP_WORDS,
+    stop_words: Iterable[str] | None = None,
+    fraction: float = 1.0,
+    by_weight: bool = False,
 ) -> DataFrame:
-    """The daily series with top items and keywords of its unusual days."""
+    """The daily series with top items and keywords of its unusual days.
+
+    ``fraction`` takes a sample of the texts, ``by_weight`` ranks keywords by
+    weight; both go by ``review_id``.
+    """
     flagged_series = anomalies.negativity_anomalies(gold["daily_volume"])
     days = anomalies.flagged_days(flagged_series)
     fact = tables["reviews"]
     text = anomalies.top_items_text(anomalies.top_items(fact, days, tables["items"]))
     said = anomalies.keywords(
-        anomalies.reviews_on(fact, days), "review_date", language, stop_words=stop_words
+        anomalies.reviews_on(fact, days),
+        "review_date",
+        language,
+        key="review_id" if by_weight else None,
+        by_weight=by_weight,
+        fraction=fraction,
+        stop_words=stop_words,
     )
     return anomalies.anomaly_report(flagged_series, text, said.select("review_date", "keywords"))

@@ -2,29 +2,56 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewlens.sources import files
+
 QUOTE = '"'
+_QUOTED = r'"(?:[^"]|"")*+'
+_FIELD = rf'(?:{_QUOTED}"|[^",\r]*+)'
+_FIELDS = rf'(?:{_FIELD},)*+(?:{_FIELD}|{_QUOTED})\r?'
+#: A line that begins a record: fields, the last of which may stay open.
+_OUTSIDE = rf'^{_FIELDS}$'
+#: A line that begins inside a field: the rest of the field, then as above.
+_INSIDE = rf'^(?:[^"]|"")*+(?:"(?:\r?|,{_FIELDS}))?$'
 OPTIONS = {"header": True, "quote": QUOTE, "escape": QUOTE}
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | None = None,
+    missing: str = "raise",
 ) -> DataFrame:
-    """CSV table with quoted line breaks, one task per file.
+    """CSV table with quoted line breaks, read by Spark's own reader: a task per file.
 
-    Spark cannot split a file whose fields contain line breaks.  That suits
-    many files of moderate size; use :func:`read_csv_in_parallel` for large
-    ones.  Without a schema the types are inferred, which reads the data twice.
-    Columns are matched by name, so a file may hold more or other columns.
+    Spark cannot split a file whose fields contain line breaks, so many files
+    are the unit of parallel work.  Each file is matched by its own header: files
+    with different headers are read apart and united by name.  Without a schema
+    the types are inferred, which reads the data twice.  See :func:`with_schema`
+    for how columns meet a schema.
     """
     reader = spark.read.options(**OPTIONS, multiLine=True)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    named = reader.csv(path)
-    return _with_schema(named, schema)
+        reader = reader.option("inferSchema", True)
+    parts = [reader.csv(paths) for paths in _by_header(spark, path)]
+    named = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return named if schema is None else with_schema(named, schema, missing)
+
+
+def _by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """Files grouped by their first line; a file that begins a quoted line break is alone."""
+    paths = [path] if isinstance(path, str) else list(path)
+    found = [f for p in paths for f in files.text_files(spark, p)]
+    groups: dict[str, list[str]] = {}
+    for name in found:
+        line = files.first_line(spark, name)
+        groups.setdefault(name if line.count(QUOTE) % 2 else line.rstrip("\r"), []).append(name)
+    return list(groups.values()) or [paths]
 
 
 def _value(text: Column, kind: T.DataType) -> Column:
@@ -35,30 +62,53 @@ def _value(text: Column, kind: T.DataType) -> Column:
     return value
 
 
-def _with_schema(named: DataFrame, schema: T.StructType) -> DataFrame:
-    """Text columns cast to the schema; absent columns and unusable values are null."""
-    present = set(named.columns)
-    return named.select(
-        *[
-            (_value(F.col(f.name), f.dataType) if f.name in present else F.lit(None).cast(f.dataType))
-            .alias(f.name)
-            for f in schema.fields
-        ]
-    )
+def with_schema(named: DataFrame, schema: T.StructType, missing: str = "raise") -> DataFrame:
+    """Text columns cast to the schema by name, whatever the case of the header.
+
+    Unusable values are null.  Columns that the schema does not declare follow
+    as text.  A declared column that the file lacks raises an error, or is null
+    when ``missing`` is ``"null"``.
+    """
+    present: dict[str, str] = {}
+    for name in named.columns:
+        if name.lower() in present:
+            raise ValueError(f"two columns are called {name!r} but for case")
+        present[name.lower()] = name
+    absent = [f.name for f in schema.fields if f.name.lower() not in present]
+    if absent and missing != "null":
+        raise ValueError(f"the file has no column {', '.join(absent)}; it has {', '.join(named.columns)}")
+    declared = {f.name.lower() for f in schema.fields}
+    typed = [
+        (
+            _value(F.col(f"`{present[f.name.lower()]}`"), f.dataType)
+            if f.name.lower() in present
+            else F.lit(None).cast(f.dataType)
+        ).alias(f.name)
+        for f in schema.fields
+    ]
+    others = [F.col(f"`{name}`") for key, name in present.items() if key not in declared]
+    return named.select(*typed, *others)
 
 
 def read_csv_in_parallel(
-    spark: SparkSession, path: str | list[str], schema: T.StructType
+    spark: SparkSession, path: str | list[str], schema: T.StructType, missing: str = "raise"
 ) -> DataFrame:
-    """The same rows as :func:`read_csv`, with large files read by many tasks.
+    """The same rows as :func:`read_csv` from strict files, with large files read by many tasks.
+
+    For files that quote as RFC 4180 says: a field with a quote, a comma or a
+    line break is quoted and its quotes are doubled.  A line that breaks the
+    rule, or a lone carriage return as line end, raises an error, as do files
+    with different headers; read such files with :func:`read_csv`.
 
     The text is read by splittable lines.  A line starts a record when the
     number of quote characters before it in the file is even, because quotes
     come in pairs in complete records.  That number is a running sum within
     each block of the file plus the totals of the blocks before it, so no task
     sees more than one block.  Lines of one record are joined again and parsed
-    by Spark's own CSV parser.  All files must share the header of the first.
+    by Spark's own CSV parser.
     """
+    if len(_by_header(spark, path)) > 1:
+        raise ValueError("the files have different headers; read them with read_csv")
     header = spark.read.options(**OPTIONS, multiLine=True).csv(path).columns
     lines = spark.read.option("lineSep", "\n").text(path).select(
         "value",
@@ -87,6 +137,12 @@ def read_csv_in_parallel(
     earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
     open_quotes = F.col("quotes_before") + F.coalesce(F.sum("quotes").over(earlier), F.lit(0))
     marked = counted.join(blocks, ["file", "block"]).withColumn("starts", open_quotes % 2 == 0)
+    # Checked where a line is used, so a file that breaks the rule gives no rows at all.
+    fits = F.when(F.col("starts"), F.col("value").rlike(_OUTSIDE)).otherwise(F.col("value").rlike(_INSIDE))
+    complaint = F.concat(F.lit("not strictly quoted CSV, use read_csv: "), F.substring("value", 1, 200))
+    marked = marked.withColumn(
+        "value", F.when(fits, F.col("value")).otherwise(F.raise_error(complaint))
+    )
     # The record of a line is the latest starting line of its block.
     numbered = (
         marked.withColumn("record", F.max(F.when(F.col("starts"), F.col("line"))).over(in_block))
@@ -120,12 +176,14 @@ def read_csv_in_parallel(
     # Nearly every record is one line and needs no second shuffle.
     records = body.filter("alone").select(F.col("value").alias("text")).unionByName(joined_lines)
 
-    text = F.regexp_replace("text", r"\r$", "")
+    # As Spark's reader does: where lines end in CR LF, so do line breaks inside fields.
+    windows = F.replace(F.regexp_replace("text", r"\r$", ""), F.lit("\r\n"), F.lit("\n"))
+    text = F.when(F.col("text").endswith("\r"), windows).otherwise(F.col("text"))
     columns = ", ".join(f"`{name}` STRING" for name in header)
     parsed = (
         records.select(text.alias("text"))
-        .filter(F.trim("text") != "")
+        .filter(F.col("text") != "")
         .select(F.from_csv("text", columns, {"quote": QUOTE, "escape": QUOTE}).alias("row"))
         .select("row.*")
     )
-    return _with_schema(parsed, schema)
+    return with_schema(parsed, schema, missing)

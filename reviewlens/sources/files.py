@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -47,15 +48,39 @@ def largest_file(spark: SparkSession, path: str) -> int:
     return max((status.getLen() for status in fs.listStatus(jpath)), default=0)
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """First line of a text file, without its line end."""
+    jpath, fs = _path(spark, path)
+    jvm = spark._jvm
+    stream = fs.open(jpath)
+    try:
+        reader = jvm.java.io.BufferedReader(
+            jvm.java.io.InputStreamReader(stream, jvm.java.nio.charset.StandardCharsets.UTF_8)
+        )
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
+def text_files(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the files directly in a folder that Spark would read."""
+    jpath, fs = _path(spark, path)
+    status = fs.getFileStatus(jpath)
+    entries = fs.listStatus(jpath) if status.isDirectory() else [status]
+    names = [(e.getPath().getName(), e.getPath().toString()) for e in entries if e.isFile()]
+    return sorted(full for name, full in names if not name.startswith(("_", ".")))
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder for intermediate tables.
+    """A new folder for intermediate tables in the one named by ``spark.checkpoint.dir``.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``.  Without
-    that setting a temporary folder is used, on a local master only.
+    Where that is unset, a local session (one process, as in tests) gets a
+    temporary folder with a warning; any other master raises an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/reviewlens-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="reviewlens-")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        warnings.warn("spark.checkpoint.dir is unset; using a local temporary folder", stacklevel=2)
+        shared = tempfile.mkdtemp(prefix="reviewlens-")
+    return f"{shared.rstrip('/')}/reviewlens-{uuid.uuid4().hex}"

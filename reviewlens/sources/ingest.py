@@ -8,10 +8,7 @@ from pyspark.sql import types as T
 from reviewlens.schemas import RAW_SCHEMAS
 from reviewlens.sources import files
 from reviewlens.sources.csv import read_csv, read_csv_in_parallel
-from reviewlens.sources.writers import MB, write_balanced
-
-# The default size of a file split.
-SPLIT_BYTES = 128 * MB
+from reviewlens.sources.writers import write_balanced
 
 
 def table_name(path: str) -> str:
@@ -28,17 +25,21 @@ def ingest_file(
     csv_path: str,
     table_path: str,
     schema: T.StructType | None = None,
-    parallel_from: int = SPLIT_BYTES,
+    strict_quotes: bool = False,
+    missing: str = "raise",
 ) -> DataFrame:
-    """One CSV file to one typed Parquet table, parsed once; returns the table.
+    """One CSV file to one typed Parquet table; returns the table.
 
-    Given a schema, a file of more than ``parallel_from`` bytes is read by many
-    tasks; a smaller one is a single block anyway.
+    Every file is read the same way whatever its size.  ``strict_quotes`` reads
+    large files by many tasks and raises an error where a file is not strictly
+    quoted; it needs a schema.
     """
-    if schema is not None and files.largest_file(spark, csv_path) > parallel_from:
-        df = read_csv_in_parallel(spark, csv_path, schema)
+    if strict_quotes:
+        if schema is None:
+            raise ValueError("strict_quotes needs a schema")
+        df = read_csv_in_parallel(spark, csv_path, schema, missing)
     else:
-        df = read_csv(spark, csv_path, schema)
+        df = read_csv(spark, csv_path, schema, missing)
     write_balanced(df, table_path)
     return spark.read.parquet(table_path)
 
@@ -48,6 +49,8 @@ def ingest_folder(
     csv_folder: str,
     table_folder: str,
     schemas: dict[str, T.StructType] | None = None,
+    strict_quotes: bool = False,
+    missing: str = "raise",
 ) -> dict[str, DataFrame]:
     """Every ``*.csv`` of a folder as a table; files without a schema are inferred."""
     schemas = RAW_SCHEMAS if schemas is None else schemas
@@ -57,8 +60,9 @@ def ingest_folder(
     tables = {}
     for path in paths:
         name = table_name(path)
+        schema = _schema_for(name, schemas)
         tables[name] = ingest_file(
-            spark, path, f"{table_folder}/{name}.parquet", _schema_for(name, schemas)
+            spark, path, f"{table_folder}/{name}.parquet", schema, strict_quotes and schema is not None, missing
         )
     return tables
 

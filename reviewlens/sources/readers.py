@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,28 +24,29 @@ def read_table(
     return df if columns is None else df.select(*columns)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a small table over all cores, for work that is heavy per row.
-
-    A file with one row group is read by one task.  A table with at least as
-    many splits as there are cores is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def read_parts(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A fact stored in several Parquet files or tables, as one table.
 
-    Layouts in order of preference: ``name_part*.parquet``, one
-    ``name.parquet``, ``name_*.parquet``.  Only the first one found is read, so
-    a left-over of another layout is never counted twice.
+    Layouts: ``name_part<number>.parquet``, one ``name.parquet``, or
+    ``name_<number>.parquet``.  Two layouts side by side raise an error, because
+    one may repeat the rows of the other.
     """
-    for pattern in (f"{name}_part*.parquet", f"{name}.parquet", f"{name}_*.parquet"):
-        parts = files.matching(spark, f"{folder}/{pattern}")
-        if parts:
-            return spark.read.parquet(*parts)
-    raise FileNotFoundError(f"no {name}_part*.parquet and no {name}.parquet in {folder}")
+    shapes = {
+        f"{name}_part<number>": rf"{re.escape(name)}_part\d+\.parquet",
+        name: rf"{re.escape(name)}\.parquet",
+        f"{name}_<number>": rf"{re.escape(name)}_\d+\.parquet",
+    }
+    paths = files.matching(spark, f"{folder}/{name}*.parquet")
+    found = {
+        label: [p for p in paths if re.fullmatch(shape, p.rstrip("/").rsplit("/", 1)[-1])]
+        for label, shape in shapes.items()
+    }
+    found = {label: parts for label, parts in found.items() if parts}
+    if not found:
+        raise FileNotFoundError(f"no {name}_part<number>.parquet and no {name}.parquet in {folder}")
+    if len(found) > 1:
+        raise ValueError(f"{folder} holds {name} in more than one layout: {', '.join(found)}")
+    return spark.read.parquet(*next(iter(found.values())))
 
 
 def union_parts(parts: list[DataFrame]) -> DataFrame:

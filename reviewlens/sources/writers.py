@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from reviewlens.sources import files
 
@@ -23,32 +24,45 @@ def write_balanced(
     path: str,
     max_bytes: int = MAX_FILE_BYTES,
     target_bytes: int = TARGET_FILE_BYTES,
+    order: Sequence[Column] = (),
 ) -> int:
     """Write a table as files of about ``target_bytes``; returns the number of files.
 
     The frame is computed once and written by all tasks to a staging folder,
     which gives the real compressed size.  At most ``max_bytes`` becomes one
     file; anything larger becomes ``ceil(size / target_bytes)`` equal parts.
-    Only the stored copy is rearranged.  The old table is replaced after the
-    new one is complete, so a failed or repeated run leaves a whole table.
+    Only the stored copy is rearranged.  ``order`` is the order of the rows in
+    the files, one file after the other.  The old table is moved aside when the
+    new one is complete and deleted after the new one is in place; a failed run
+    removes what it staged.
     """
     spark = df.sparkSession
     mark = uuid.uuid4().hex[:8]
-    staging, ready = f"{path}__staging_{mark}", f"{path}__ready_{mark}"
-    write_table(df, staging)
-    sizes = files.data_files(spark, staging)
-    total = sum(sizes)
-    wanted = 1 if total <= max_bytes else math.ceil(total / target_bytes)
-    if len(sizes) <= 1 and wanted == 1:
-        ready = staging
-    else:
-        stored = spark.read.schema(df.schema).parquet(staging)
-        # One file only when the measured size is at most max_bytes.
-        arranged = stored.coalesce(1) if wanted == 1 else stored.repartition(wanted)
-        write_table(arranged, ready)
+    staging, ready, old = (f"{path}__{step}_{mark}" for step in ("staging", "ready", "old"))
+    try:
+        write_table(df, staging)
+        sizes = files.data_files(spark, staging)
+        total = sum(sizes)
+        wanted = 1 if total <= max_bytes else math.ceil(total / target_bytes)
+        if len(sizes) <= 1 and wanted == 1 and not order:
+            files.rename(spark, staging, ready)
+        else:
+            stored = spark.read.schema(df.schema).parquet(staging)
+            # One file only when the measured size is at most max_bytes.
+            if wanted == 1:
+                arranged = stored.coalesce(1)
+            else:
+                arranged = stored.repartitionByRange(wanted, *order) if order else stored.repartition(wanted)
+            write_table(arranged.sortWithinPartitions(*order) if order else arranged, ready)
+        replaced = files.exists(spark, path)
+        if replaced:
+            files.rename(spark, path, old)
+        files.rename(spark, ready, path)
+        if replaced:
+            files.delete(spark, old)
+    finally:
         files.delete(spark, staging)
-    files.delete(spark, path)
-    files.rename(spark, ready, path)
+        files.delete(spark, ready)
     return max(wanted, 1)
 
 

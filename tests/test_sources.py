@@ -57,7 +57,9 @@ def test_parallel_csv_equals_rows_written(spark, tmp_path, small_blocks):
     write(path, rows)
     found = read_csv_in_parallel(spark, path, SCHEMA)
     assert spark.read.text(path).rdd.getNumPartitions() > 20
-    assert sorted(tuple(r) for r in found.collect()) == sorted(rows)
+    want = sorted(rows)
+    assert sorted(tuple(r) for r in found.collect()) == want
+    assert sorted(tuple(r) for r in read_csv(spark, path, SCHEMA).collect()) == want
 
 
 def test_parallel_csv_with_windows_line_ends_and_several_files(spark, tmp_path, small_blocks):
@@ -67,7 +69,9 @@ def test_parallel_csv_with_windows_line_ends_and_several_files(spark, tmp_path,
     write(folder / "a.csv", first, end="\r\n")
     write(folder / "b.csv", second, end="\r\n")
     found = read_csv_in_parallel(spark, str(folder), SCHEMA)
-    assert sorted(tuple(r) for r in found.collect()) == sorted(first + second)
+    want = sorted((i, body.replace("\r\n", "\n"), score) for i, body, score in first + second)
+    assert sorted(tuple(r) for r in found.collect()) == want
+    assert sorted(tuple(r) for r in read_csv(spark, str(folder), SCHEMA).collect()) == want
 
 
 def test_both_csv_readers_agree(spark, tmp_path):
@@ -81,10 +85,65 @@ def test_both_csv_readers_agree(spark, tmp_path):
 
 def test_csv_columns_match_by_name_and_inference_works(spark, tmp_path):
     path = str(tmp_path / "rows.csv")
-    write(path, [("b", "7", "extra")], header=("body", "id", "other"))
-    assert read_csv(spark, path, SCHEMA).first() == (7, "b", None)
-    assert read_csv_in_parallel(spark, path, SCHEMA).first() == (7, "b", None)
-    assert dict(read_csv(spark, path).dtypes)["id"] == "int"
+    write(path, [("b", "7", "extra")], header=("body", "ID", "other"))
+    for read in (read_csv, read_csv_in_parallel):
+        found = read(spark, path, SCHEMA, missing="null")
+        assert found.columns == ["id", "body", "score", "other"]
+        assert found.first() == (7, "b", None, "extra")
+        with pytest.raises(ValueError, match="score"):
+            read(spark, path, SCHEMA)
+    assert dict(read_csv(spark, path).dtypes)["ID"] == "int"
+
+
+def test_files_with_different_headers_are_matched_by_name(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    write(folder / "a.csv", [(1, "a", 0.5)])
+    write(folder / "b.csv", [("b", 2, "x")], header=("body", "id", "more"))
+    found = read_csv(spark, str(folder), SCHEMA, missing="null")
+    assert sorted(map(tuple, found.select("id", "body", "score", "more").collect())) == [
+        (1, "a", 0.5, None), (2, "b", None, "x"),
+    ]
+    with pytest.raises(ValueError, match="different headers"):
+        read_csv_in_parallel(spark, str(folder), SCHEMA)
+
+
+STRAY = [
+    'id,body,score\n1,17" disk,2\n2,b,3\n3,c,4\n4,d,5\n',
+    'id,body,score\n1,"a"b,2\n2,b,3\n',
+    'id,body,score\r1,a,2\r2,b,3\r',
+    'id,body,score\n1,a "b" c,2\n',
+]
+
+
+@pytest.mark.parametrize("text", STRAY)
+def test_loose_quotes_keep_every_row_or_raise(spark, tmp_path, text, small_blocks):
+    path = tmp_path / "rows.csv"
+    path.write_bytes(text.encode())
+    rows = read_csv(spark, str(path), SCHEMA).collect()
+    assert len(rows) == len(text.replace("\r", "\n").strip().split("\n")) - 1
+    with pytest.raises(Exception, match="(?s)strictly quoted|different headers|no column"):
+        read_csv_in_parallel(spark, str(path), SCHEMA).collect()
+
+
+def test_blank_lines_are_read_alike(spark, tmp_path):
+    path = tmp_path / "rows.csv"
+    path.write_text('id,body,score\n\n1,a,2\n   \n2,"b\n\nc",3\n')
+    one, two = (read(spark, str(path), SCHEMA).collect() for read in (read_csv, read_csv_in_parallel))
+    assert sorted(map(str, one)) == sorted(map(str, two))
+
+
+def test_ingest_reads_files_of_any_size_alike(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "notes.csv").write_text(STRAY[0])
+    tables = ingest.ingest_folder(spark, str(raw), str(tmp_path / "silver"), {"notes": SCHEMA})
+    assert tables["notes"].count() == 4
+    with pytest.raises(Exception, match="strictly quoted"):
+        ingest.ingest_folder(
+            spark, str(raw), str(tmp_path / "strict"), {"notes": SCHEMA}, strict_quotes=True
+        )
+    assert [p.name for p in (tmp_path / "strict").iterdir()] == []
 
 
 def test_header_only_file(spark, tmp_path):
@@ -122,6 +181,26 @@ def test_balanced_write(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir() if "__" in p.name] == []
 
 
+def test_order_of_rows_in_the_files(spark, tmp_path):
+    df = spark.range(100_000).select("id", F.md5(F.col("id").cast("string").cast("binary")).alias("h"))
+    for limit in (100_000_000, 500_000):
+        path = str(tmp_path / f"t{limit}.parquet")
+        writers.write_balanced(df, path, limit, limit, order=[F.desc("id")])
+        parts = sorted(p for p in (tmp_path / f"t{limit}.parquet").iterdir() if p.suffix == ".parquet")
+        got = [r["id"] for p in parts for r in spark.read.parquet(str(p)).collect()]
+        assert got == list(range(99_999, -1, -1))
+
+
+def test_a_failed_write_leaves_the_old_table_alone(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    writers.write_balanced(spark.range(3), path)
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("string").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        writers.write_balanced(bad, path)
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t.parquet"]
+
+
 def test_empty_table_is_written_and_read(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     writers.write_balanced(spark.range(5).filter("id < 0"), path)
@@ -142,9 +221,14 @@ def test_fact_layouts(spark, tmp_path):
         readers.read_parts(spark, folder, "reviews")
     spark.range(3).write.parquet(f"{folder}/reviews.parquet")
     assert readers.read_parts(spark, folder, "reviews").count() == 3
+    spark.range(5).write.parquet(f"{folder}/reviews_by_author.parquet")
+    assert readers.read_parts(spark, folder, "reviews").count() == 3
     spark.range(2).write.parquet(f"{folder}/reviews_part01.parquet")
-    spark.range(2).write.parquet(f"{folder}/reviews_part02.parquet")
-    assert readers.read_parts(spark, folder, "reviews").count() == 4
+    with pytest.raises(ValueError, match="more than one layout"):
+        readers.read_parts(spark, folder, "reviews")
+    for name in ("users_2023", "users_2024", "users_by_day"):
+        spark.range(2).write.parquet(f"{folder}/{name}.parquet")
+    assert readers.read_parts(spark, folder, "users").count() == 4
 
 
 def test_missing_tables_are_reported(spark, tmp_path):

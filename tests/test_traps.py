@@ -342,3 +342,31 @@ def test_normalised_words_and_pairs(spark):
     ]
     assert found[1].w == [] and found[1].n == 3
     assert found[2].w == [] and found[3].w is None
+
+
+def test_samples_near_none_and_all(spark):
+    df = spark.range(100_000)
+    from reviewlens.functions.sampling import hash_sample
+
+    assert hash_sample(df, "id", 0.999995).count() > 99_900
+    assert hash_sample(df, "id", 0.0).count() == 0
+    assert hash_sample(df, "id", 1e-5).count() < 30
+    assert hash_sample(df, "id", 1.0).count() == 100_000
+    keyless = df.select(F.lit(None).cast("long").alias("key"), "id")
+    assert 4_500 < hash_sample(keyless, "key", 0.05).count() < 5_500
+
+
+def test_keywords_by_weight_need_a_key(spark):
+    import pytest as _pytest
+
+    from reviewlens.operators.terms import group_keywords
+
+    with _pytest.raises(ValueError, match="key"):
+        group_keywords(spark.range(1).selectExpr("id", "'x' AS t"), "id", "t", by_weight=True)
+
+
+def test_stop_words_are_the_written_list(spark):
+    from reviewlens.catalog.oracles import STOP_LIST
+    from reviewlens.functions.words import default_stop_words
+
+    assert {w.strip("' ") for w in STOP_LIST.split(",")} == set(default_stop_words())

@@ -79,7 +79,7 @@ def scratch_folder(spark: SparkSession) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         warnings.warn("spark.checkpoint.dir is unset; using a local temporary folder", stacklevel=2)
         shared = tempfile.mkdtemp(prefix="reviewlens-")

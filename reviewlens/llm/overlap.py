@@ -196,15 +196,12 @@ def _fragments(size: int, frequent):
                 place, rows, _ = _ordered(hashed, starts, frequent.value)
                 fragment = np.where(place >= LAST, FRAGMENTS - 1, place // (LAST // (FRAGMENTS - 1) + 1))
                 cell = rows * FRAGMENTS + fragment
-                begin = np.flatnonzero(np.diff(cell, prepend=-1))
-                ends = np.append(begin, len(cell)).astype(np.int32)
+                ends = np.searchsorted(cell, np.arange(part.num_rows * FRAGMENTS + 1)).astype(np.int32)
+                inner = pa.ListArray.from_arrays(pa.array(ends), pa.array(place))
+                sets = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * FRAGMENTS)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(node_ids(hashed, starts)[rows[begin]]),
-                        pa.array(fragment[begin].astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(place)),
-                    ],
-                    ["node", "fragment", "places"],
+                    [pa.array(node_ids(hashed, starts)), pa.ListArray.from_arrays(sets, inner)],
+                    ["node", "fragments"],
                 )
 
     return run
@@ -336,23 +333,21 @@ class Join:
             wanted = F.broadcast(wanted)
         texts = self.texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
         cut = texts.mapInArrow(
-            _fragments(self.size, self.frequent), "node bigint, fragment int, places array<bigint>"
+            _fragments(self.size, self.frequent), "node bigint, fragments array<array<bigint>>"
         )
-        # each fragment of a pair is a group of its own, to which both sets send that fragment
+        # both sets of a pair meet there; each fragment is counted by itself
+        end = lambda k, name: F.struct(F.lit(k).alias("end"), F.col(name).alias("node"))
         ends = bounded.select(
             F.struct("node", "n", "other", "m").alias("pair"),
-            F.explode(F.array(F.struct(F.lit(0).alias("end"), "node"), F.struct(F.lit(1).alias("end"), F.col("other").alias("node")))).alias("e"),
+            F.explode(F.array(end(0, "node"), end(1, "other"))).alias("e"),
         ).select("pair", "e.end", "e.node")
         if ends.count() <= BROADCAST_IDS:
             ends = F.broadcast(ends)
-        side = lambda k: F.first(F.when(F.col("end") == k, F.col("places")), ignorenulls=True)
-        partial = cut.join(ends, "node").groupBy("pair", "fragment").agg(side(0).alias("a"), side(1).alias("b"))
-        partial = partial.where("a is not null and b is not null")
-        overlap = (
-            partial.select("pair", F.size(F.array_intersect("a", "b")).alias("shared"))
-            .groupBy("pair")
-            .agg(F.sum("shared").alias("overlap"))
-            .select("pair.*", "overlap")
+        side = lambda k: F.first(F.when(F.col("end") == k, F.col("fragments")), ignorenulls=True)
+        met = cut.join(ends, "node").groupBy("pair").agg(side(0).alias("a"), side(1).alias("b"))
+        partial = F.zip_with("a", "b", lambda x, y: F.size(F.array_intersect(x, y)))
+        overlap = met.where("a is not null and b is not null").select(
+            "pair.*", F.aggregate(partial, F.lit(0), lambda total, x: total + x).alias("overlap")
         )
         union = F.col("n") + F.col("m") - F.col("overlap")
         return stored(

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from reviewlens.llm import words as W
 
 #: Pieces whose ids a worker remembers; bounds its memory (about 150 bytes a piece).
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 500_000
 
 
 class Subwords:
@@ -109,7 +109,9 @@ class Subwords:
         slots[first] = [self.slot[p] for p in heads]
         sizes = np.diff(self.ends)[slots]
         total = np.concatenate([[0], np.cumsum(sizes)])
-        flat = np.repeat(self.ends[slots] - total[:-1], sizes) + np.arange(total[-1])
+        kind = np.int32 if max(int(total[-1]), len(self.ids)) < 2**31 else np.int64
+        flat = np.repeat((self.ends[slots] - total[:-1]).astype(kind), sizes)
+        flat += np.arange(total[-1], dtype=kind)
         ids, at = self.ids[flat], total[starts]
         if odd.any():
             rows = np.flatnonzero(odd)

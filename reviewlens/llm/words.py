@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; keeps the numpy arrays in megabytes.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 

@@ -16,17 +16,28 @@ from pyspark.sql import DataFrame, SparkSession
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Python workers give large arrays back to the system when they are freed; else an idle worker keeps
+#: the memory of its largest task.
+WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_MMAP_THRESHOLD_": "1000000",
+    "MALLOC_TRIM_THRESHOLD_": "1000000",
+    "MALLOC_ARENA_MAX": "2",
+}
+
+
 def share_code(spark: SparkSession) -> None:
-    """Let Python workers find this package where driver and workers share its folder.
+    """Set up Python workers: how they keep memory, and where this package is.
 
-    On a cluster the package is installed or sent with ``--py-files`` and the
-    folder simply does not exist there.
+    The folder matters where driver and workers share it; on a cluster the
+    package is installed or sent with ``--py-files`` and the folder does not exist.
     """
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    environment = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if PACKAGE_ROOT not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(
-            [p for p in paths if p] + [PACKAGE_ROOT]
-        )
+        environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [PACKAGE_ROOT])
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -37,7 +48,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = f"file://{tempfile.gettempdir()}/llm-shared"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

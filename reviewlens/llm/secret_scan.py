@@ -13,8 +13,8 @@ Fisher's method combines the three p values.  The null is "random", so text is
 what gets rejected: within each encoding and length class the Benjamini-Hochberg
 rule at ``RATE`` sets how small p must be, from the p values of all candidates
 of all documents (counted in bins of a hundredth of a decade).  Candidates that
-are long enough for their class and are not rejected become spans of kind
-``random`` unless they overlap a base span.
+are not rejected become spans of kind ``random``.  Where base spans cover a part
+of a candidate, each stretch of 20 or more characters outside them is a candidate.
 """
 
 from __future__ import annotations
@@ -31,13 +31,13 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+#: Least characters of a candidate.
+LEAST = 20
+CANDIDATE = rf"[A-Za-z0-9+/_-]{{{LEAST},}}"
 #: Least characters of group 2 of an assignment.
 ASSIGN_VALUE = 6
-#: Least lengths at which the tests can tell text from random characters.
-LEAST = {"hex": 32, "base32": 32, "base64": 32}
 #: Upper ends of the length classes.
-CLASSES = (40, 64, 128, 512)
+CLASSES = (32, 40, 64, 128, 512)
 RATE = 0.05
 KINDS = ("assign", "access", "hex", "random")
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
@@ -71,6 +71,26 @@ def _spans(found: str) -> Column:
     )
 
 
+def _outside(found: str, base: str) -> Column:
+    """The stretches of each found span, ``LEAST`` characters or longer, that no base span covers.
+
+    ``base`` is sorted by start; its spans may overlap each other.
+    """
+    return F.expr(
+        f"""flatten(transform({found}, s -> filter(
+              aggregate(
+                filter({base}, b -> b.start < s.end and s.start < b.end),
+                named_struct('at', s.start, 'out', cast(array() as array<struct<start:int,end:int,value:string>>)),
+                (a, b) -> named_struct('at', greatest(a.at, b.end), 'out', if(b.start <= a.at, a.out,
+                  concat(a.out, array(named_struct('start', a.at, 'end', b.start,
+                    'value', substring(s.value, a.at - s.start + 1, b.start - a.at)))))),
+                a -> if(a.at >= s.end, a.out,
+                  concat(a.out, array(named_struct('start', a.at, 'end', s.end,
+                    'value', substring(s.value, a.at - s.start + 1, s.end - a.at)))))),
+              x -> x.end - x.start >= {LEAST})))"""
+    )
+
+
 def _normal_upper(z: Column) -> Column:
     """Upper tail of the normal distribution (logistic form, within 0.0002)."""
     return 1 / (1 + F.exp(F.least(F.lit(600.0), 1.5976 * z + 0.07056 * z * z * z)))
@@ -205,22 +225,16 @@ def find_spans(documents: DataFrame, doc: str = "doc_id", text: str = "text", ra
     rows = rows.withColumn("assign", F.filter("assign", lambda s: F.length(value(s)) >= ASSIGN_VALUE))
     base = F.flatten(F.array(*[F.transform(kind, _of_kind(k)) for k, kind in enumerate(KINDS[:3])]))
     rows = rows.select("doc_id", F.array_sort(base).alias("base"), "random")
-    free = F.filter(
-        "random",
-        lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
+    free = _outside("random", "base")
     # a number for each row that stays the same once the table is written
     rows = stored(
         rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "base", free.alias("random")),
         "secret-spans",
     )
     tested = battery(rows.select("row", F.explode("random").alias("s")).select("row", "s.start", "s.end", "s.value"))
-    enough = F.lit(False)
-    for name, least in LEAST.items():
-        enough = enough | ((F.col("encoding") == name) & (F.col("n") >= least))
     bin_ = F.floor(-F.log10(F.greatest(F.lit(1e-100), F.col("p"))) * BINS).cast("int")
     tested = stored(
-        tested.where(enough).withColumn("class", length_class(F.col("n"))).withColumn("bin", bin_),
+        tested.withColumn("class", length_class(F.col("n"))).withColumn("bin", bin_),
         "secret-tests",
     )
     bound = limits(tested, rate)

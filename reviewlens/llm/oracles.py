@@ -93,7 +93,80 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+occurrences AS (SELECT k, lang, source, unnest(w) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS n FROM occurrences GROUP BY ALL HAVING count(DISTINCT k) >= 10
+),
+langs AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS mass FROM kept GROUP BY lang),
+counts AS (
+  SELECT lang, source, term, count(*) AS n FROM occurrences SEMI JOIN kept USING (lang, term) GROUP BY ALL
+),
+groups AS (
+  SELECT d.lang, d.source, coalesce(l.v, 0) AS v, coalesce(l.mass, 0) AS lang_n,
+         coalesce((SELECT sum(n) FROM counts c WHERE c.lang = d.lang AND c.source = d.source), 0)::BIGINT AS n
+  FROM (SELECT DISTINCT lang, source FROM docs) d LEFT JOIN langs l USING (lang)
+),
+shares AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.n + 2 * g.v) AS p,
+         1 + (1000000000::HUGEINT * (kept.n + 2)) // (g.lang_n + 2 * g.v) AS q
+  FROM groups g JOIN kept USING (lang) LEFT JOIN counts c USING (lang, source, term)
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+all_pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+),
+parts AS (
+  SELECT * FROM all_pairs UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 10
+"""
+
+NEGATIVES = r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS k, vec_id,
+         (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END) AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.k AS ak, a.vec_id AS anchor_id, a.label AS anchor_label, b.k, b.vec_id, b.label,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id IS DISTINCT FROM b.vec_id
+),
+positives AS (
+  SELECT ak, anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY ak ORDER BY score DESC, vec_id) AS choice
+  FROM scored WHERE label = anchor_label QUALIFY choice <= 5
+)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.ak, choice ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s
+  ON s.ak = p.ak AND s.label <> p.anchor_label
+ AND 80 * positive_score::HUGEINT <= 100 * score::HUGEINT AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op2_quality_line_rules": QUALITY,
     "op10_benchmark_automaton": CONTAMINATION,
+    "op12_divergence_trees": DIVERGENCE,
+    "op13_negatives_packed": NEGATIVES,
 }

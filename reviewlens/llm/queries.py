@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import chat, contamination, language, mixing, overlap, packing, quality, scoring, secret_scan, warc
+from reviewlens.llm import (
+    chat,
+    contamination,
+    divergence,
+    language,
+    mixing,
+    negatives,
+    overlap,
+    packing,
+    quality,
+    scoring,
+    secret_scan,
+    simhash,
+    warc,
+)
 from reviewlens.llm.store import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +144,21 @@ def op10_benchmark_automaton(spark, folder):
         hex_digest(F.array_join("items", ",")).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@query
+def op11_simhash_balls(spark, folder):
+    return simhash.simhash_groups(table(spark, folder, "documents"))
+
+
+@query
+def op12_divergence_trees(spark, folder):
+    return divergence.source_divergence(table(spark, folder, "documents"))
+
+
+@query
+def op13_negatives_packed(spark, folder):
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = table(spark, folder, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(rows, anchor=vec_id % 100 == 0)

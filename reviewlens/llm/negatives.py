@@ -128,8 +128,7 @@ class Block:
         if len(which) > k:
             least = np.partition(score[which], len(which) - k)[len(which) - k]
             which = which[score[which] >= least]
-        return which[np.lexsort((self.ids[which], ~self.known[which], -score[which].astype(object)
-                                 if (score[which] == LONG_MIN).any() else -score[which]))][:k]
+        return which[np.lexsort((self.ids[which], ~self.known[which], ~score[which]))][:k]
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]):

@@ -452,6 +452,8 @@ ORACLES: dict[str, str] = {
     "s01_csv_scan": "SELECT * FROM documents",
     "s01_csv_stray_quotes": """SELECT doc_id, CAST(n_chars AS VARCHAR) || '" wide' AS width, lang
     FROM documents""",
+    "s01_csv_stray_quotes_in_parallel": """SELECT doc_id, CAST(n_chars AS VARCHAR) || '" wide' AS width, lang
+    FROM documents""",
     "s02_ingest_extra_columns": """SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name,
     CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation""",
     "s01_csv_scan_in_parallel": "SELECT * FROM documents",

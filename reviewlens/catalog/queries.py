@@ -164,16 +164,24 @@ def s01_csv_scan_in_parallel(t: Tables) -> DataFrame:
     return read_csv_in_parallel(t.spark, _documents_csv(t), t.raw("documents").schema)
 
 
-@query
-def s01_csv_stray_quotes(t: Tables) -> DataFrame:
-    """Inches without quoting, as review texts have them."""
+def _inches_csv(t: Tables) -> tuple[str, T.StructType]:
+    """Inches without quoting, as review texts have them, and the schema of the file."""
     path = f"{_scratch(t)}/inches.csv"
     wide = F.concat(F.col("n_chars").cast("string"), F.lit('" wide')).alias("width")
     t.raw("documents").select("doc_id", wide, "lang").write.options(
         header=True, quote="", escapeQuotes=False
     ).csv(path)
-    schema = T.StructType().add("doc_id", "long").add("width", "string").add("lang", "string")
-    return read_csv(t.spark, path, schema)
+    return path, T.StructType().add("doc_id", "long").add("width", "string").add("lang", "string")
+
+
+@query
+def s01_csv_stray_quotes(t: Tables) -> DataFrame:
+    return read_csv(t.spark, *_inches_csv(t))
+
+
+@query
+def s01_csv_stray_quotes_in_parallel(t: Tables) -> DataFrame:
+    return read_csv_in_parallel(t.spark, *_inches_csv(t), strict=False)
 
 
 @query

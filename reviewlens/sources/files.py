@@ -5,9 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 import warnings
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
+HEAD_BYTES = 4096
+HEAD_READERS = 32
+
 
 def _path(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -48,18 +52,43 @@ def largest_file(spark: SparkSession, path: str) -> int:
     return max((status.getLen() for status in fs.listStatus(jpath)), default=0)
 
 
-def first_line(spark: SparkSession, path: str) -> str:
-    """First line of a text file, without its line end."""
+def first_line(spark: SparkSession, path: str) -> tuple[str, str]:
+    """First line of a text file and what ends it: LF, CR LF or CR.
+
+    LF where the file has no line end.  Reads a few kilobytes, more only for a
+    longer first line.
+    """
     jpath, fs = _path(spark, path)
-    jvm = spark._jvm
     stream = fs.open(jpath)
     try:
-        reader = jvm.java.io.BufferedReader(
-            jvm.java.io.InputStreamReader(stream, jvm.java.nio.charset.StandardCharsets.UTF_8)
-        )
-        return reader.readLine() or ""
+        head, size = b"", HEAD_BYTES
+        while True:
+            more = bytes(stream.readNBytes(size))
+            head, size = head + more, 4 * size
+            ends = [k for k in (head.find(b"\n"), head.find(b"\r")) if k >= 0]
+            # A carriage return at the end of what was read may precede a line feed.
+            if not more or ends and min(ends) + 1 < len(head):
+                break
     finally:
         stream.close()
+    at = min(ends, default=len(head))
+    end = "\r\n" if head[at : at + 2] == b"\r\n" else "\r" if head[at : at + 1] == b"\r" else "\n"
+    return head[:at].decode("utf-8", "replace"), end
+
+
+def first_lines(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
+    """:func:`first_line` of each file, many files at once.
+
+    The head of a file is metadata that the plan needs, as the footer of a Parquet
+    file is, so it is read before any task runs.
+    """
+    with ThreadPoolExecutor(HEAD_READERS) as pool:
+        return list(pool.map(lambda path: first_line(spark, path), paths))
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    jpath, fs = _path(spark, path)
+    fs.mkdirs(jpath)
 
 
 def text_files(spark: SparkSession, path: str) -> list[str]:

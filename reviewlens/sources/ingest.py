@@ -30,14 +30,15 @@ def ingest_file(
 ) -> DataFrame:
     """One CSV file to one typed Parquet table; returns the table.
 
-    Every file is read the same way whatever its size.  ``strict_quotes`` reads
-    large files by many tasks and raises an error where a file is not strictly
-    quoted; it needs a schema.
+    Every file is read the same way whatever its size: with a schema by many
+    tasks, by the rules of Spark's own reader; without one by Spark's reader, which
+    infers the types.  ``strict_quotes`` raises an error where a file is not
+    strictly quoted; it needs a schema.
     """
-    if strict_quotes:
-        if schema is None:
-            raise ValueError("strict_quotes needs a schema")
-        df = read_csv_in_parallel(spark, csv_path, schema, missing)
+    if schema is not None:
+        df = read_csv_in_parallel(spark, csv_path, schema, missing, strict=strict_quotes)
+    elif strict_quotes:
+        raise ValueError("strict_quotes needs a schema")
     else:
         df = read_csv(spark, csv_path, schema, missing)
     write_balanced(df, table_path)
@@ -52,11 +53,16 @@ def ingest_folder(
     strict_quotes: bool = False,
     missing: str = "raise",
 ) -> dict[str, DataFrame]:
-    """Every ``*.csv`` of a folder as a table; files without a schema are inferred."""
+    """Every ``*.csv`` of a folder as a table; files without a schema are inferred.
+
+    The target folder is made first.  A file that cannot be read raises its error and
+    leaves no table there; tables written before it stay.
+    """
     schemas = RAW_SCHEMAS if schemas is None else schemas
     paths = files.matching(spark, f"{csv_folder}/*.csv")
     if not paths:
         raise FileNotFoundError(f"no *.csv in {csv_folder}")
+    files.make_folder(spark, table_folder)
     tables = {}
     for path in paths:
         name = table_name(path)

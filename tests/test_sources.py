@@ -245,3 +245,102 @@ def test_canonical_casts_loosely_typed_columns(spark):
     found = canonical(df, "applications").collect()
     assert [tuple(r) for r in found] == [(12, True, None), (None, None, 3.0)]
     assert len(RAW_SCHEMAS["reviews"]) == 11
+
+
+LOOSE_PIECES = ['"', '""', '"""', "a", '17"', ' "', '" ', "\n", ",", "\t", '"x"y', '"a,b"', "\r", "", " ", '",', 'é"', '"\n"']
+
+
+def loose_text(seed, end):
+    """Lines that open, double and forget quotes anywhere."""
+    rng = random.Random(seed)
+    LOOSE = [p for p in LOOSE_PIECES if end == "\n" or "\n" not in p and (end != "\r" or p != "\r")]
+    lines = [
+        ",".join("".join(rng.choice(LOOSE) for _ in range(rng.randrange(4))) for _ in range(rng.randrange(1, 6)))
+        for _ in range(rng.randrange(1, 40))
+    ]
+    return "id,body,score" + end + end.join(lines) + rng.choice([end, ""])
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_loose_files_in_parallel_equal_sparks_reader(spark, tmp_path, small_blocks, end):
+    text = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "body", "score")])
+    for seed in range(12):
+        path = tmp_path / f"rows{seed}.csv"
+        path.write_bytes((loose_text(100 * len(end) + seed, end) + "last,x,y").encode())
+        want = sorted(map(tuple, read_csv(spark, str(path), text).collect()), key=repr)
+        found = read_csv_in_parallel(spark, str(path), text, strict=False)
+        assert sorted(map(tuple, found.collect()), key=repr) == want, seed
+
+
+@pytest.mark.parametrize("text", STRAY)
+def test_stray_quotes_in_parallel(spark, tmp_path, text, small_blocks):
+    path = tmp_path / "rows.csv"
+    path.write_bytes(text.encode())
+    found = read_csv_in_parallel(spark, str(path), SCHEMA, strict=False)
+    want = sorted(map(tuple, read_csv(spark, str(path), SCHEMA).collect()))
+    assert sorted(map(tuple, found.collect())) == want
+
+
+def test_a_quoted_field_over_many_blocks(spark, tmp_path, small_blocks):
+    path = tmp_path / "rows.csv"
+    body = "\n".join(f'line {k}, 5"" long' for k in range(300))
+    path.write_text(f'id,body,score\n1,17" disk,2\n2,"{body}",3\n3,"a" b,4\n4,d\n')
+    rows = read_csv_in_parallel(spark, str(path), SCHEMA, strict=False).collect()
+    assert spark.read.text(str(path)).rdd.getNumPartitions() > 10
+    assert sorted(map(tuple, rows)) == [
+        (1, '17" disk', 2.0), (2, body.replace('""', '"'), 3.0), (3, '"a" b', 4.0), (4, "d", None),
+    ]
+
+
+def test_a_large_loose_file_is_read_by_many_tasks(spark, tmp_path, small_blocks):
+    path = tmp_path / "rows.csv"
+    path.write_text("id,body,score\n" + "".join(f'{k},{k}" wide,1\n' for k in range(500)))
+    found = read_csv_in_parallel(spark, str(path), SCHEMA, strict=False)
+    plan = found._jdf.queryExecution().toString()
+    assert "FileScan text" in plan and "FileScan csv" not in plan
+    assert spark.read.text(str(path)).rdd.getNumPartitions() > 15
+    assert found.count() == 500 and found.agg({"id": "sum"}).first()[0] == sum(range(500))
+
+
+def test_ingest_reads_loose_files_in_parallel(spark, tmp_path, small_blocks):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "notes.csv").write_bytes(b'id,body,score\r\n1,"a\r\nb",2\r\n2,6" pipe,3\r\n')
+    tables = ingest.ingest_folder(spark, str(raw), str(tmp_path / "silver"), {"notes": SCHEMA})
+    assert sorted(map(tuple, tables["notes"].collect())) == [(1, "a\nb", 2.0), (2, '6" pipe', 3.0)]
+
+
+@pytest.mark.parametrize("read", [read_csv, lambda *a, **k: read_csv_in_parallel(*a, **k, strict=False)])
+def test_every_file_is_held_against_the_schema(spark, tmp_path, read):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    write(folder / "a.csv", [(1, "a", 0.5)])
+    write(folder / "b.csv", [(2,)], header=("id",))
+    with pytest.raises(ValueError, match="body, score"):
+        read(spark, str(folder), SCHEMA)
+    found = read(spark, str(folder), SCHEMA, missing="null")
+    assert sorted(map(tuple, found.collect())) == [(1, "a", 0.5), (2, None, None)]
+
+
+@pytest.mark.parametrize("line", ["a\nb,c,1", '"a" \nb,c,1', '"a"x\n,c,1', "\n", '"a\nb"c\n"d,e,1'])
+@pytest.mark.parametrize("end", ["\r\n", "\r"])
+def test_a_line_feed_outside_quotes_raises_where_lines_end_otherwise(spark, tmp_path, line, end):
+    path = tmp_path / "rows.csv"
+    path.write_bytes(end.join(["id,body,score", '1,"in\nside",2', line, "3,z,4", ""]).encode())
+    with pytest.raises(Exception, match="line feed outside quotes"):
+        read_csv_in_parallel(spark, str(path), SCHEMA, strict=False).collect()
+    path.write_bytes(end.join(["id,body,score", '1,"in\n""side\n",2', "3,z,4", ""]).encode())
+    rows = read_csv_in_parallel(spark, str(path), SCHEMA, strict=False).collect()
+    assert sorted(map(tuple, rows)) == [(1, 'in\n"side\n', 2.0), (3, "z", 4.0)]
+
+
+def test_first_lines_and_line_ends(spark, tmp_path):
+    wide = "x" * 5000
+    texts = ["a,b\n1", "a,b\r\n1", "a,b\r1", "a,b", "", f"{wide}\r\n1", "x" * 4095 + "\r\ny", "é\nb"]
+    for k, text in enumerate(texts):
+        (tmp_path / f"{k}.csv").write_bytes(text.encode())
+    found = files.first_lines(spark, [str(tmp_path / f"{k}.csv") for k in range(len(texts))])
+    assert found == [
+        ("a,b", "\n"), ("a,b", "\r\n"), ("a,b", "\r"), ("a,b", "\n"), ("", "\n"), (wide, "\r\n"),
+        ("x" * 4095, "\r\n"), ("é", "\n"),
+    ]

@@ -35,12 +35,14 @@ from reviewlens.llm.overlap import components
 from reviewlens.llm.store import share_code, stored
 
 SHINGLE = 3
+#: Bytes of text that are worked on at once.
+SLICE = 1 << 20
 SEED = 42
 BITS = 64
 #: Fingerprints whose variants are made at once.
-BATCH = 4_096
+BATCH = 1_024
 #: Variants that one task sorts at once, about.
-PART_VARIANTS = 2_000_000
+PART_VARIANTS = 500_000
 #: Texts whose votes are counted at once.
 VOTE_ROWS = 2_048
 
@@ -106,7 +108,7 @@ def fingerprints(texts: pa.Array, size: int = SHINGLE) -> np.ndarray:
 def _describe(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE):
                 bits = fingerprints(W.text_column(part.column("text")), size)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(bits.view(np.int64))], ["doc_id", "bits"]
@@ -165,10 +167,13 @@ def stars(points: np.ndarray, flips: np.ndarray) -> tuple[np.ndarray, np.ndarray
     first[1:] = points[1:] != points[:-1]
     centre = np.flatnonzero(first)[np.cumsum(first) - 1]
     keep = ~first & (flips[centre] < NEAR)
-    pairs = np.stack([bits[centre[keep]], bits[keep]], axis=1)
-    if len(pairs):
-        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    a, b = bits[centre[keep]], bits[keep]
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
 
 
 def _meet(table: pa.Table) -> pa.Table:

@@ -70,12 +70,12 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "genre_bridge": (
         (),
         """SELECT DISTINCT l_partkey AS item_id, s_nationkey AS genre_id
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_linenumber = 1""",
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     ),
     "owner_bridge": (
         (),
         """SELECT DISTINCT l_partkey AS item_id, l_suppkey AS owner_id
-        FROM lineitem WHERE l_linenumber = 1""",
+        FROM lineitem""",
     ),
     "item_genres": (
         ("genre_bridge",),
@@ -262,6 +262,10 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         WHERE l_returnflag = 'R' AND lang = 'en' AND text <> ''
         AND CAST(l_shipdate AS DATE) IN (SELECT review_date FROM anomalies WHERE anomaly)""",
     ),
+    "sampled_day_texts": (
+        ("day_texts",),
+        f"SELECT * FROM day_texts WHERE {in_sample('text_key', 0.4)}",
+    ),
 }
 
 
@@ -333,7 +337,7 @@ def text_parts(source: str) -> dict[str, tuple[tuple[str, ...], str]]:
     }
 
 
-for _source in ("doc_texts", "negative_doc_texts", "sampled_doc_texts", "day_texts"):
+for _source in ("doc_texts", "negative_doc_texts", "sampled_doc_texts", "day_texts", "sampled_day_texts"):
     PARTS.update(text_parts(_source))
 
 
@@ -904,6 +908,12 @@ ORACLES: dict[str, str] = {
     "q17_anomaly_keywords_by_weight": sql(
         keyword_labels("negative_doc_texts", "by_weight"), "negative_doc_texts_by_weight"
     ),
+    "q17_flagged_day_keywords_sampled": sql(
+        keyword_labels("sampled_day_texts", "alphabetical", "review_date"), "sampled_day_texts_alphabetical"
+    ),
+    "q17_flagged_day_keywords_by_weight": sql(
+        keyword_labels("day_texts", "by_weight", "review_date"), "day_texts_by_weight"
+    ),
     "q18_anomaly_report": sql(
         f"""SELECT {ANOMALY_COLUMNS}, coalesce(top_items, '') AS top_items,
         coalesce(keywords, '') AS keywords FROM anomalies
@@ -1010,3 +1020,6 @@ ORACLES: dict[str, str] = {
         "active_authors",
     ),
 }
+ORACLES["q18_anomaly_report_by_month"] = ORACLES["q18_anomaly_report"]
+ORACLES["k02_file_sizes"] = """SELECT true AS all_files_counted, true AS several, true AS within_limit,
+true AS even, count(*) AS rows FROM lineitem"""

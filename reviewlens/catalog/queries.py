@@ -101,8 +101,11 @@ def _performance(t: Tables, summary: DataFrame | None = None) -> DataFrame:
 
 
 def _timeline(t: Tables) -> DataFrame:
+    """Months and totals of the categories from one summary, so the fact is read once."""
     months = rollups.item_month_summary(t.reviews())
-    return categories.category_timeline(months, _genre_labels(t), _volume(t))
+    months = writers.store(months, f"{_scratch(t)}/item_months.parquet")
+    totals = rollups.roll_up(months, "item_id", sums=["reviews"])
+    return categories.category_timeline(months, _genre_labels(t), _volume(t, totals))
 
 
 def _daily(t: Tables) -> DataFrame:
@@ -285,6 +288,24 @@ def k02_balanced_files(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+@query
+def k02_file_sizes(t: Tables) -> DataFrame:
+    """Files of a balanced write: more than one, none above the limit, none of half the mean."""
+    path = f"{_scratch(t)}/lineitem.parquet"
+    lines = t.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    n = writers.write_balanced(lines, path, max_bytes=20_000, target_bytes=15_000)
+    found = t.spark.read.parquet(path).groupBy(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")
+    )
+    return found.agg(F.count(F.lit(1)).alias("rows")).agg(
+        (F.count(F.lit(1)) == n).alias("all_files_counted"),
+        (F.count(F.lit(1)) > 1).alias("several"),
+        (F.max("bytes") <= 20_000).alias("within_limit"),
+        (F.min("bytes") >= F.avg("bytes") / 2).alias("even"),
+        F.sum("rows").alias("rows"),
+    )
+
+
 @query
 def k03_single_file(t: Tables) -> DataFrame:
     path = f"{_scratch(t)}/ratings.parquet"
@@ -485,7 +506,7 @@ def j03_fact_bridge(t: Tables) -> DataFrame:
 def j03_fact_bridge_salted(t: Tables) -> DataFrame:
     sums = ["reviews", "positive", "rows"]
     return members.sum_by_label(
-        _summary(t), _owner_labels(t), "owner_name", sums, salts=members.SALTS
+        _summary(t), _owner_labels(t), "owner_name", sums, salts=members.SALTS, heavy=20
     )
 
 
@@ -1103,11 +1124,48 @@ def q17_anomaly_keywords_by_weight(t: Tables) -> DataFrame:
     return anomalies.keywords(t.texts(), "grp", language="en", key="doc_id", by_weight=True)
 
 
+def _flagged_texts(t: Tables) -> DataFrame:
+    """Down-voted reviews of unusual days with their texts and a key for each."""
+    flagged = anomalies.reviews_on(t.reviews(key=True), _flagged(t)).filter(~F.col("recommended"))
+    return t.with_text(flagged)
+
+
+@query
+def q17_flagged_day_keywords_sampled(t: Tables) -> DataFrame:
+    texts = _flagged_texts(t)
+    return anomalies.keywords(texts, "review_date", language="en", key="text_key", fraction=0.4)
+
+
+@query
+def q17_flagged_day_keywords_by_weight(t: Tables) -> DataFrame:
+    texts = _flagged_texts(t)
+    return anomalies.keywords(texts, "review_date", language="en", key="text_key", by_weight=True)
+
+
+def _report(t: Tables, fact: DataFrame) -> DataFrame:
+    """The fact is read twice: for the daily series, and for the reviews of unusual days."""
+    scratch = _scratch(t)
+    daily = reviews.daily_volume(fact, td.DAY_AT_LEAST, ordered=False)
+    series = anomalies.negativity_anomalies(writers.store(daily, f"{scratch}/daily.parquet"))
+    hits = anomalies.reviews_on(fact, anomalies.flagged_days(series)).filter(~F.col("recommended"))
+    hits = hits.select("review_id", "item_id", "review_date", "recommended")
+    hits = writers.store(hits, f"{scratch}/flagged.parquet")
+    said = anomalies.keywords(t.with_text(hits), "review_date", language="en")
+    text = anomalies.top_items_text(anomalies.top_items_of(hits, t.items()))
+    return rounded(anomalies.anomaly_report(series, text, said.select("review_date", "keywords")))
+
+
 @query
 def q18_anomaly_report(t: Tables) -> DataFrame:
-    said = _day_keywords(t).select("review_date", "keywords")
-    text = anomalies.top_items_text(_top_items(t))
-    return rounded(anomalies.anomaly_report(_anomalies(t), text, said))
+    return _report(t, t.reviews())
+
+
+@query
+def q18_anomaly_report_by_month(t: Tables) -> DataFrame:
+    """The same from a fact stored by month, of which only the flagged months are read again."""
+    path = f"{_scratch(t)}/reviews.parquet"
+    writers.write_by_month(t.reviews(), path, "created_at")
+    return _report(t, t.spark.read.parquet(path))
 
 
 @query

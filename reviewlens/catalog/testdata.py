@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 ORDERS_PER_DOCUMENT = 15
 CONTRAST_MORE_THAN = 20
 NEGATIVITY_MORE_THAN = 30
-SENTIMENT_MORE_THAN = 4_000
+SENTIMENT_MORE_THAN = 5_700
 RATING_AT_LEAST = 30
 PROFILE_AT_LEAST = 30
 DAY_AT_LEAST = 20
-OWNER_ITEMS = 80
-OWNER_REVIEWS = 2_500
+OWNER_ITEMS = 187
+OWNER_REVIEWS = 5_660
 CLIP_HOURS = 900.0
 
 
@@ -42,8 +42,11 @@ class Tables:
     def documents(self) -> DataFrame:
         return self.raw("documents")
 
-    def reviews(self, author: bool = False) -> DataFrame:
-        """The fact.  The author comes from a join and only where it is needed."""
+    def reviews(self, author: bool = False, key: bool = False) -> DataFrame:
+        """The fact.  The author comes from a join and only where it is needed.
+
+        An order has several lines; ``key`` adds a number of its own for each.
+        """
         lines = self.raw("lineitem")
         columns = [
             F.col("l_orderkey").alias("review_id"),
@@ -55,6 +58,8 @@ class Tables:
             (F.col("l_linestatus") == "F").alias("early_access"),
             _epoch_seconds(F.col("l_shipdate")).alias("created_at"),
         ]
+        if key:
+            columns.append((F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("text_key"))
         if author:
             orders = self.raw("orders").select("o_orderkey", "o_custkey")
             lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -87,13 +92,10 @@ class Tables:
             F.col("s_suppkey").alias("owner_id"), F.col("s_name").alias("owner_name")
         )
 
-    def _first_lines(self) -> DataFrame:
-        return self.raw("lineitem").filter(F.col("l_linenumber") == 1)
-
     def genre_bridge(self) -> DataFrame:
         suppliers = self.raw("supplier").select("s_suppkey", "s_nationkey")
         return (
-            self._first_lines()
+            self.raw("lineitem")
             .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
             .select(F.col("l_partkey").alias("item_id"), F.col("s_nationkey").alias("genre_id"))
             .distinct()
@@ -101,7 +103,7 @@ class Tables:
 
     def owner_bridge(self) -> DataFrame:
         return (
-            self._first_lines()
+            self.raw("lineitem")
             .select(F.col("l_partkey").alias("item_id"), F.col("l_suppkey").alias("owner_id"))
             .distinct()
         )

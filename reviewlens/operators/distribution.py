@@ -1,9 +1,9 @@
 """Shares, quantiles, box summaries, histograms and empirical distributions.
 
 Ranks over a large category are computed without bringing the category into
-one task.  A small sample of rows, chosen by hash so that it is the same on
-every evaluation, cuts the sort order into slots; a window numbers the rows
-within a slot, and the totals of the slots before it are added.
+one task.  A sample of rows, chosen by hash so that it is the same on every
+evaluation, cuts the sort order into slots of about equally many rows; a window
+numbers the rows within a slot, and the totals of the slots before it are added.
 """
 
 from __future__ import annotations
@@ -13,9 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Slots of the sort order.  A slot is one window group, so a task numbers about
-# one part in SLOTS of all rows; raise it for row-level ranks over a whole fact.
-SLOTS = 64
+# A slot of the sort order is one window group and has about this many rows, so a
+# task stays the same whatever the table.  Only past MAX_SLOTS slots they grow.
+ROWS_PER_SLOT = 100_000
+MAX_SLOTS = 16_384
+# Sample points in a slot.  The cut points are every so many-th of the sorted sample,
+# which keeps the largest slot within twice the mean.
+POINTS_PER_SLOT = 32
+HASHES = 1 << 31
 COMPILED_STEPS = 6
 QUARTILES = (0.25, 0.5, 0.75)
 WHISKER = 1.5
@@ -32,21 +37,28 @@ def share_of_total(df: DataFrame, value: str, name: str = "share") -> DataFrame:
     return df.withColumn(name, F.try_divide(F.col(value).cast("double"), total.cast("double")))
 
 
-def _with_slot(df: DataFrame, order: Sequence[str], slots: int, slot: str) -> DataFrame:
+def _with_slot(
+    df: DataFrame, order: Sequence[str], rows_per_slot: int, slots: int | None, slot: str
+) -> DataFrame:
     """Number of the stretch of the sort order a row falls in.
 
-    The cut points are the ``slots - 1`` rows with the smallest hash.  They
-    depend on the rows only, so recomputing a lost partition gives the same
-    slots.  The slot, which is the number of cut points up to the row, is found
-    by halving the sorted cut points.
+    A row is a sample point when its hash is small, so the cut points depend on the
+    rows only and recomputing a lost partition gives the same slots.  The sample
+    holds at most about ``MAX_SLOTS * POINTS_PER_SLOT`` points, whatever the table.
+    The slot, which is the number of cut points up to the row, is found by halving
+    the sorted cut points.
     """
+    points = df.select(F.struct(*order).alias("point"))
+    rows = points.agg(F.count(F.lit(1))).scalar()
+    wanted = F.lit(slots) if slots else F.least(F.ceil(rows / rows_per_slot), F.lit(MAX_SLOTS))
+    small = F.pmod(F.xxhash64("point"), F.lit(HASHES)) < wanted * (POINTS_PER_SLOT * HASHES) / rows
+    every = F.sort_array(F.collect_list("point"))
     cuts = (
-        df.select(F.struct(*order).alias("point"))
-        .orderBy(F.xxhash64("point"), "point")
-        .limit(slots - 1)
-        .agg(F.sort_array(F.collect_list("point")))
+        points.where(small)
+        .agg(F.filter(every, lambda _, i: (i + 1) % POINTS_PER_SLOT == 0))
         .scalar()
     )
+    slots = 2 * (slots or MAX_SLOTS)  # the sample varies
     halves = [1 << i for i in reversed(range((slots - 1).bit_length()))]
 
     def advance(passed: Column, step: Column | int) -> Column:
@@ -72,17 +84,19 @@ def with_position(
     weight: str | None = None,
     position: str = "position",
     total: str = "total",
-    slots: int = SLOTS,
+    slots: int | None = None,
+    rows_per_slot: int = ROWS_PER_SLOT,
 ) -> DataFrame:
     """Running position of each row within its category, and the category total.
 
     Position is 1, 2, 3 … in the given order, or the running sum of ``weight``.
     ``order`` must identify a row within the category so that ties are split
-    the same way every time.
+    the same way every time.  A window group has about ``rows_per_slot`` rows, or
+    the ``slots``-th part of all when that is given.
     """
     slot, before = "_slot", "_before"
     size = F.lit(1) if weight is None else F.col(weight)
-    placed = _with_slot(df, [by, *order], slots, slot)
+    placed = _with_slot(df, [by, *order], rows_per_slot, slots, slot)
 
     sizes = placed.groupBy(by, slot).agg(F.sum(size).alias("_size"))
     earlier = Window.partitionBy(by).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
@@ -108,7 +122,7 @@ def with_position(
 
 
 def ecdf(
-    df: DataFrame, by: str, value: str, key: str, name: str = "cdf", slots: int = SLOTS
+    df: DataFrame, by: str, value: str, key: str, name: str = "cdf", slots: int | None = None
 ) -> DataFrame:
     """Empirical distribution per category: i/n over ascending values.
 
@@ -128,7 +142,7 @@ def quantiles(
     by: str,
     value: str,
     probabilities: dict[str, float],
-    slots: int = SLOTS,
+    slots: int | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles per category, one column per probability."""
     counts = with_position(
@@ -193,7 +207,7 @@ def box_summary(
     value: str,
     few_values: bool = False,
     whisker: float = WHISKER,
-    slots: int = SLOTS,
+    slots: int | None = None,
 ) -> DataFrame:
     """Box-plot numbers per category.
 

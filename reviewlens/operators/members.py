@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Slots for a bridge to a large dimension, where one item may have very many
-# members.  For a small dimension one slot is enough: after equal pairs are
-# merged an item has at most one row per label.
-SALTS = 8
+# An item with more labels than this is heavy: its labels are spread over SALTS slots
+# and its row is repeated for each.  All other items are joined as they are.
+HEAVY_LABELS = 10_000
+SALTS = 64
 
 
 def item_labels(bridge: DataFrame, dimension: DataFrame, on: str, label: str) -> DataFrame:
@@ -30,18 +30,32 @@ def item_labels(bridge: DataFrame, dimension: DataFrame, on: str, label: str) ->
     )
 
 
-def join_labels(summary: DataFrame, labels: DataFrame, label: str, salts: int = 1) -> DataFrame:
+def join_labels(
+    summary: DataFrame,
+    labels: DataFrame,
+    salts: int = 1,
+    heavy: int = HEAVY_LABELS,
+) -> DataFrame:
     """Item rows ⋈ item labels.
 
-    With ``salts`` above one the label rows of an item are spread over that
-    many slots by their label, and each item row is repeated per slot.
+    For a small dimension one slot is enough: after equal pairs are merged an item
+    has at most one row per label.  With ``salts`` above one, items that have more
+    than ``heavy`` labels are split: their labels go to slots by their hash, their
+    item row is repeated per slot.  The heavy items are few, at most one in ``heavy``
+    bridge rows, and are counted map-side first.
     """
     if salts == 1:
         return summary.join(labels, "item_id")
-    slot = "_slot"
-    spread = labels.withColumn(slot, F.pmod(F.xxhash64(label), F.lit(salts)).cast("int"))
-    slots = F.explode(F.array(*[F.lit(i) for i in range(salts)]))
-    return summary.withColumn(slot, slots).join(spread, ["item_id", slot]).drop(slot)
+    slot, flag = "_slot", "_heavy"
+    names = [c for c in labels.columns if c not in ("item_id", "links")]
+    split = labels.groupBy("item_id").agg(F.count(F.lit(1)).alias(flag)).filter(F.col(flag) > heavy)
+    own = F.pmod(F.xxhash64(*names), F.lit(salts)).cast("int")
+    spread = labels.join(split, "item_id", "left").select(
+        *labels.columns, F.when(F.col(flag).isNotNull(), own).otherwise(0).alias(slot)
+    )
+    every = F.sequence(F.lit(0), F.when(F.col(flag).isNotNull(), F.lit(salts - 1)).otherwise(0))
+    repeated = summary.join(split, "item_id", "left").select(*summary.columns, F.explode(every).alias(slot))
+    return repeated.join(spread, ["item_id", slot]).drop(slot)
 
 
 def sum_by_label(
@@ -51,13 +65,14 @@ def sum_by_label(
     sums: list[str],
     keys: tuple[str, ...] = (),
     salts: int = 1,
+    heavy: int = HEAVY_LABELS,
 ) -> DataFrame:
     """Additive measures per label (and further keys of the summary).
 
     ``items`` is the number of summary rows of the label: the number of
     distinct items when the summary has one row per item.
     """
-    joined = join_labels(summary.select("item_id", *keys, *sums), labels, label, salts)
+    joined = join_labels(summary.select("item_id", *keys, *sums), labels, salts, heavy)
     return joined.groupBy(label, *keys).agg(
         F.count(F.lit(1)).alias("items"),
         *[F.sum(F.col(c) * F.col("links")).alias(c) for c in sums],

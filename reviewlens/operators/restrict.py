@@ -18,13 +18,18 @@ def keep_known(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     return df.join(keys.select(on), on, "left_semi")
 
 
-def keep_days(df: DataFrame, days: DataFrame, on: str) -> DataFrame:
+def keep_days(df: DataFrame, days: DataFrame, on: str, month: str | None = None) -> DataFrame:
     """Rows of a fact whose day occurs in ``days``, without shuffling the fact.
 
     ``days`` holds distinct dates, at most ``DAYS_PER_CENTURY`` per century of
-    data, so it is broadcast.
+    data, so it is broadcast.  ``month`` is the column by which the stored fact is
+    partitioned, if it is: Spark then reads the months of those days only.
     """
-    return df.join(F.broadcast(days.select(on)), on, "left_semi")
+    wanted = days.select(on)
+    if month is None:
+        return df.join(F.broadcast(wanted), on, "left_semi")
+    wanted = wanted.withColumn(month, F.trunc(on, "month"))
+    return df.join(F.broadcast(wanted), [month, on], "left_semi")
 
 
 def keep_top(df: DataFrame, ranked: DataFrame, on: str) -> DataFrame:

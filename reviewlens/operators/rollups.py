@@ -53,6 +53,14 @@ def summarise(reviews: DataFrame, *keys: Column | str) -> DataFrame:
     )
 
 
+def item_day_summary(reviews: DataFrame) -> DataFrame:
+    """One row per item, UTC day and early-access flag: what all results of items and
+    dates can be summed from, so that the fact is read once for them."""
+    dated = reviews.withColumn("review_date", epoch_to_date("created_at"))
+    keys = [F.col("item_id"), F.col("review_date"), F.col("early_access").alias("flag")]
+    return summarise(dated, *keys)
+
+
 def item_summary(reviews: DataFrame) -> DataFrame:
     """One row per item; the shared base of the item, category and owner results."""
     return summarise(reviews, "item_id")
@@ -64,6 +72,18 @@ def item_month_summary(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("item_id", month).agg(F.count("review_id").alias("reviews"))
 
 
-def roll_up(summary: DataFrame, *keys: str, sums: list[str]) -> DataFrame:
-    """Coarser summary from a finer one, by summing additive measures."""
+def roll_up(summary: DataFrame, *keys: Column | str, sums: list[str] | None = None) -> DataFrame:
+    """Coarser summary from a finer one, by summing additive measures (all of them by default)."""
+    if sums is None:
+        sums = [c for c in summary.columns if c not in ("item_id", "review_date", "flag")]
     return summary.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def items_of(base: DataFrame) -> DataFrame:
+    """:func:`item_summary` from :func:`item_day_summary`."""
+    return roll_up(base, "item_id")
+
+
+def item_months_of(base: DataFrame) -> DataFrame:
+    """:func:`item_month_summary` from :func:`item_day_summary`."""
+    return roll_up(base, "item_id", month_start("review_date").alias("review_month"), sums=["reviews"])

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 WINDOW_ROWS = 30
 MIN_ROWS = 10
+# Slots of the categories of a dense grid.
+GRID_SLOTS = 16
 BAND_WIDTH = 2.0
 
 
@@ -55,19 +57,20 @@ def flag_above(df: DataFrame, value: str, limit: str, name: str = "anomaly") ->
 def dense_grid(df: DataFrame, index: str, category: str, value: str, fill=0) -> DataFrame:
     """A row for every observed index × observed category; missing values filled.
 
-    The categories of a series are few (a top-k or a dimension).  They travel
-    as one array and are exploded per index value, so there is no cross join.
+    The result is the product of both sides by definition.  Each index value is
+    repeated for ``GRID_SLOTS`` slots and meets the categories of a slot, so no
+    number of categories is gathered anywhere: a key of the join holds one slot, and
+    Spark broadcasts the categories where they are under its size threshold.
     """
     # The filter makes all uses below need the same columns, so that Spark
     # computes the input once.
     df = df.select(index, category, value).filter(F.col(value).isNotNull())
-    categories = df.select(F.array_sort(F.collect_set(category))).scalar()
-    grid = (
-        df.select(index)
-        .distinct()
-        .withColumn("_categories", categories)
-        .select(index, F.explode("_categories").alias(category))
-    )
+    slot = "_slot"
+    slotted = F.pmod(F.xxhash64(category), F.lit(GRID_SLOTS)).cast("int")
+    categories = df.select(category).filter(F.col(category).isNotNull()).distinct().withColumn(slot, slotted)
+    indexes = df.select(index).distinct()
+    every = indexes.withColumn(slot, F.explode(F.sequence(F.lit(0), F.lit(GRID_SLOTS - 1))))
+    grid = every.join(categories, slot).drop(slot)
     return grid.join(df, [index, category], "left").withColumn(
         value, F.coalesce(F.col(value), F.lit(fill))
     )

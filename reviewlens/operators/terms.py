@@ -3,13 +3,17 @@
 Texts become (group, term) rows through built-in array functions.  Counting is
 partial before every shuffle, so neither a very large group nor a very common
 term reaches one task as raw rows.
+
+Weights per text are found in two passes.  The first counts terms per group and
+keeps each group's vocabulary, a few dozen terms; the second meets only those, so
+that of the terms of a text no others are shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions.words import (
@@ -20,11 +24,16 @@ from reviewlens.functions.words import (
     words,
 )
 from reviewlens.operators.ranking import ranked_text, top_k_per_group
+from reviewlens.sources.files import scratch_folder
+from reviewlens.sources.writers import store
 
 VOCABULARY_SIZE = 60
 KEYWORDS = 7
 MIN_TEXTS = 3
 SEPARATOR = ", "
+# Vocabulary rows that may go to all tasks (some tens of megabytes); more are joined
+# by a shuffle.
+BROADCAST_TERMS = 500_000
 USABLE_MARK = "+"
 SHORT_MARK = "-"
 
@@ -89,6 +98,55 @@ def vocabulary(totals: DataFrame, group: str, size: int = VOCABULARY_SIZE) -> Da
     return top_k_per_group(totals, group, "total", size, ["term"])
 
 
+def group_vocabulary(
+    df: DataFrame,
+    group: str,
+    text: str,
+    size: int = VOCABULARY_SIZE,
+    stop_words: Iterable[str] | None = None,
+    longer_than: int = MIN_TEXT_LENGTH,
+) -> DataFrame:
+    """``group, term, total, texts_with_term, texts``: each group's vocabulary, stored.
+
+    One pass over the texts, combined map-side.  ``texts`` counts the usable texts of
+    the group; a group without any has one row, with a null term.
+    """
+    long_enough = is_long_enough("_text", longer_than)
+    terms = unigrams_and_bigrams("_words")
+
+    def marked(found: Column, first: bool) -> Column:
+        return F.transform(found, lambda t: F.struct(t.alias("term"), F.lit(first).alias("first")))
+
+    one = lambda mark: F.array(F.struct(F.lit(mark).alias("term"), F.lit(True).alias("first")))
+    counted = F.when(
+        F.col("_words").isNotNull(),
+        F.concat(marked(F.col("_terms"), False), marked(F.array_distinct("_terms"), True), one(USABLE_MARK)),
+    ).otherwise(one(SHORT_MARK))
+    is_mark = F.col("term").isin(USABLE_MARK, SHORT_MARK)
+    totals = (
+        df.select(group, normalise_text(text).alias("_text"))
+        .select(group, F.when(long_enough, words("_text", stop_words)).alias("_words"))
+        .select(group, "_words", terms.alias("_terms"))
+        .select(group, F.inline(counted))
+        .groupBy(group, "term")
+        .agg(F.count_if(~F.col("first")).alias("total"), F.count_if("first").alias("texts_with_term"))
+    )
+    order = Window.partitionBy(group, "_mark").orderBy(F.desc("total"), "term")
+    kept = (
+        totals.withColumn("_mark", is_mark)
+        .withColumn("_rank", F.row_number().over(order))
+        .filter(F.col("_rank") <= size)
+    )
+    # At most `size` terms and two marks per group are left.
+    usable = F.max(F.when(F.col("term") == USABLE_MARK, F.col("texts_with_term"))).over(Window.partitionBy(group))
+    sized = kept.withColumn("texts", F.coalesce(usable, F.lit(0)))
+    shown = F.when(~F.col("_mark"), F.col("term"))
+    out = sized.filter(~F.col("_mark") | (F.col("term") == USABLE_MARK) | (F.col("texts") == 0)).select(
+        group, shown.alias("term"), "total", "texts_with_term", "texts"
+    )
+    return store(out, f"{scratch_folder(df.sparkSession)}/vocabulary.parquet")
+
+
 def tfidf(
     df: DataFrame,
     group: str,
@@ -97,31 +155,32 @@ def tfidf(
     size: int = VOCABULARY_SIZE,
     stop_words: Iterable[str] | None = None,
     longer_than: int = MIN_TEXT_LENGTH,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """TF-IDF weight of each vocabulary term in each text.
 
     Sublinear term frequency, smoothed inverse document frequency within the
-    group, and unit length per text over the group's vocabulary.
+    group, and unit length per text over the group's vocabulary.  ``known`` is the
+    vocabulary from :func:`group_vocabulary` where it has been counted already.
     """
+    if known is None:
+        known = group_vocabulary(df, group, text, size, stop_words, longer_than)
+    known = known.filter(F.col("term").isNotNull())
+    idf = F.log((F.col("texts") + 1) / (F.col("texts_with_term") + 1)) + 1
+    known = known.select(group, "term", idf.alias("idf"))
+    if known.count() <= BROADCAST_TERMS:
+        known = F.broadcast(known)
     per_text = (
         exploded_terms(df, [group, key], text, stop_words, longer_than)
-        .groupBy(group, key, "term")
+        .join(known, [group, "term"])
+        .groupBy(group, key, "term", "idf")
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
-    per_term = per_text.groupBy(group, "term").agg(
-        F.sum("occurrences").alias("total"), F.count(F.lit(1)).alias("texts_with_term")
-    )
-    group_sizes = usable_texts(df, group, text, longer_than)
-    idf = F.log((F.col("texts") + 1) / (F.col("texts_with_term") + 1)) + 1
-    known = vocabulary(per_term, group, size).join(group_sizes, group).select(
-        group, "term", idf.alias("idf")
-    )
     raw = (F.log("occurrences") + 1) * F.col("idf")
     # At most `size` rows per text, so a window over one text is small.
     one_text = Window.partitionBy(group, key)
     return (
-        per_text.join(known, [group, "term"])
-        .withColumn("_raw", raw)
+        per_text.withColumn("_raw", raw)
         .withColumn("weight", F.col("_raw") / F.sqrt(F.sum(F.col("_raw") ** 2).over(one_text)))
         .select(group, key, "term", "occurrences", "idf", "weight")
     )
@@ -190,17 +249,20 @@ def weighted_keywords(
     stop_words: Iterable[str] | None = None,
     longer_than: int = MIN_TEXT_LENGTH,
     name: str = "keywords",
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """The k terms of each group with the largest mean TF-IDF weight.
 
     Weights are compared at nine decimals so that the order does not depend on
     the order of summation.
     """
-    weights = tfidf(df, group, key, text, size, stop_words, longer_than)
+    if known is None:
+        known = group_vocabulary(df, group, text, size, stop_words, longer_than)
+    weights = tfidf(df, group, key, text, size, stop_words, longer_than, known)
     means = (
         weights.groupBy(group, "term")
         .agg(F.sum("weight").alias("weight"))
-        .join(usable_texts(df, group, text, longer_than), group)
+        .join(_sizes(known, group), group)
         .withColumn("weight", F.round(F.col("weight") / F.col("texts"), 9))
     )
     return ranked_text(
@@ -209,6 +271,11 @@ def weighted_keywords(
     )
 
 
+def _sizes(known: DataFrame, group: str) -> DataFrame:
+    """Usable texts of each group, from its vocabulary."""
+    return known.groupBy(group).agg(F.max("texts").alias("texts"))
+
+
 def group_keywords(
     df: DataFrame,
     group: str,
@@ -236,8 +303,9 @@ def group_keywords(
     if by_weight:
         if key is None:
             raise ValueError("keywords by weight need the key of a text")
-        sizes = usable_texts(df, group, text, longer_than)
-        found = sizes.join(weighted_keywords(df, group, key, text, **limits), group, "left")
+        known = group_vocabulary(df, group, text, size, stop_words, longer_than)
+        best = weighted_keywords(df, group, key, text, **limits, known=known)
+        found = _sizes(known, group).join(best, group, "left")
     else:
         found = _sizes_and_keywords(df, group, text, **limits)
     label = F.when(F.col("texts") < min_texts, F.lit(few_label)).otherwise(

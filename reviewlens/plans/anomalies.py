@@ -22,6 +22,7 @@ from reviewlens.operators.series import (
     rolling_band,
 )
 from reviewlens.operators.terms import MIN_TEXTS, group_keywords
+from reviewlens.schemas import MONTH
 
 # Texts of the published report.
 NO_ITEMS_LABEL = "Sin datos"
@@ -50,10 +51,10 @@ def flagged_days(anomalies: DataFrame) -> DataFrame:
 
 
 def reviews_on(reviews: DataFrame, days: DataFrame) -> DataFrame:
-    """Reviews of the given days."""
-    return keep_days(
-        reviews.withColumn("review_date", epoch_to_date("created_at")), days, "review_date"
-    )
+    """Reviews of the given days; of a fact stored by month only those months are read."""
+    month = MONTH if MONTH in reviews.columns else None
+    dated = reviews.withColumn("review_date", epoch_to_date("created_at"))
+    return keep_days(dated, days, "review_date", month)
 
 
 def top_items(
@@ -63,9 +64,13 @@ def top_items(
 
     Ranked by item id after the count; equal counts are ordered by name, then id.
     """
+    return top_items_of(reviews_on(reviews, days), items, k)
+
+
+def top_items_of(reviews: DataFrame, items: DataFrame, k: int = 3) -> DataFrame:
+    """:func:`top_items` of reviews that are of the wanted days already."""
     hits = (
-        reviews_on(reviews, days)
-        .filter(~F.col("recommended"))
+        reviews.filter(~F.col("recommended"))
         .groupBy("review_date", "item_id")
         .agg(F.count("review_id").alias("neg_count"))
         .join(items.select("item_id", "item_name"), "item_id", "left")

@@ -12,13 +12,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.operators.rollups import item_month_summary, item_summary
+from reviewlens.operators.rollups import (
+    item_day_summary,
+    item_month_summary,
+    item_months_of,
+    item_summary,
+    items_of,
+)
 from reviewlens.plans import anomalies, authors, categories, feeds, items, owners, reviews
 from reviewlens.schemas import CANONICAL_TABLES, RAW_SCHEMAS, canonical_tables
 from reviewlens.sources import files
 from reviewlens.sources.files import scratch_folder
 from reviewlens.sources.ingest import ingest_folder
-from reviewlens.sources.readers import load_tables, read_parts, read_table
+from reviewlens.sources.readers import load_profile, load_tables, read_parts, read_table
 from reviewlens.sources.writers import store, write_balanced
 
 # Published gold tables and the columns renamed in them.
@@ -69,31 +75,67 @@ class Thresholds:
     profile_sample: float = 0.15
 
 
-def build_silver(spark: SparkSession, raw_folder: str, silver_folder: str) -> dict[str, DataFrame]:
-    """Every CSV file of the raw folder as a typed table."""
-    return ingest_folder(spark, raw_folder, silver_folder, RAW_SCHEMAS)
+def build_silver(
+    spark: SparkSession, raw_folder: str, silver_folder: str, by_month: bool = False
+) -> dict[str, DataFrame]:
+    """Every CSV file of the raw folder as a typed table.
 
+    ``by_month`` stores the parts of the fact in a folder for each month, so that
+    drill-downs to some days read the months of those days only.
+    """
+    return ingest_folder(
+        spark, raw_folder, silver_folder, RAW_SCHEMAS, month_of={"reviews": "timestamp_created"} if by_month else None
+    )
 
-def load_silver(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Canonical frames of the silver tables; the fact may be stored in parts."""
+
+def silver_profile(spark: SparkSession, silver_folder: str) -> DataFrame:
+    """Rows, types and filled values of each column of the silver tables."""
+    found = load_silver_tables(spark, silver_folder)
+    return load_profile(found)
+
+
+def load_silver_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The silver tables as stored; the fact may be stored in parts."""
     raw = {
         name: read_table(spark, f"{folder}/{name}.parquet")
         for name in CANONICAL_TABLES
         if name != "reviews"
     }
-    return canonical_tables({"reviews": read_parts(spark, folder, "reviews"), **raw})
+    return {"reviews": read_parts(spark, folder, "reviews"), **raw}
+
+
+def load_silver(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Canonical frames of the silver tables."""
+    return canonical_tables(load_silver_tables(spark, folder))
 
 
 def gold_frames(
-    tables: dict[str, DataFrame], limits: Thresholds = Thresholds(), summary: DataFrame | None = None
+    tables: dict[str, DataFrame],
+    limits: Thresholds = Thresholds(),
+    summary: DataFrame | None = None,
+    base: DataFrame | None = None,
+    by_author: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The thirteen aggregates, by analytic name, from canonical frames.
 
-    Seven of them come from the item summary.  Pass a stored one, as
-    :func:`build_gold` does, to read the fact once for all of them.
+    Ten of them can be summed from ``base``, the summary by item, day and flag, and
+    two from ``by_author``, the summary by author.  Pass stored ones, as
+    :func:`build_gold` does, and the fact is read for the hours sample only.
     """
     fact, dims = tables["reviews"], tables["items"]
-    summary = item_summary(fact) if summary is None else summary
+    if base is None:
+        summary = item_summary(fact) if summary is None else summary
+        months, split = item_month_summary(fact), reviews.flag_split(fact)
+        daily = reviews.daily_volume(fact, limits.day_at_least)
+    else:
+        summary, months = items_of(base), item_months_of(base)
+        split, daily = reviews.flag_split_of(base), reviews.daily_volume_of(base, limits.day_at_least)
+    if by_author is None:
+        active = authors.most_active_authors(fact, limits.active_authors)
+        profiles = authors.author_profiles(fact, limits.profile_at_least, limits.profile_sample)
+    else:
+        active = authors.most_active_authors_of(by_author, limits.active_authors)
+        profiles = authors.author_profiles_of(by_author, limits.profile_at_least, limits.profile_sample)
     genre_labels = categories.genre_labels(tables["genre_bridge"], tables["genres"])
     owner_labels = owners.owner_labels(tables["owner_bridge"], tables["owners"])
     volume = categories.category_volume(summary, genre_labels)
@@ -105,7 +147,7 @@ def gold_frames(
         "negativity_by_tier": items.negativity_by_tier(
             summary, dims, limits.negativity_more_than
         ),
-        "flag_split": reviews.flag_split(fact),
+        "flag_split": split,
         "category_sentiment": categories.category_sentiment(
             summary, genre_labels, limits.sentiment_more_than
         ),
@@ -116,16 +158,14 @@ def gold_frames(
         "item_ratings": items.item_ratings(
             summary, dims, tables["owner_bridge"], tables["owners"], limits.rating_at_least
         ),
-        "most_active_authors": authors.most_active_authors(fact, limits.active_authors),
-        "author_profiles": authors.author_profiles(
-            fact, limits.profile_at_least, limits.profile_sample
-        ),
-        "daily_volume": reviews.daily_volume(fact, limits.day_at_least),
+        "most_active_authors": active,
+        "author_profiles": profiles,
+        "daily_volume": daily,
         "owner_performance": owners.owner_performance(
             summary, dims, owner_labels, limits.owner_items, limits.owner_reviews
         ),
         "category_timeline": categories.category_timeline(
-            item_month_summary(fact), genre_labels, volume, limits.timeline_categories
+            months, genre_labels, volume, limits.timeline_categories
         ),
     }
 
@@ -145,14 +185,17 @@ def build_gold(
 ) -> list[str]:
     """Write the gold tables; returns their names.
 
-    The item summary is written once to the shared scratch folder, read by
-    every table derived from it, and removed at the end.
+    The fact is read three times: for the summary by item, day and flag, for the
+    summary by author, and for the hours sample.  Both summaries are written to the
+    shared scratch folder, read by every table derived from them, and removed at the
+    end.
     """
     tables = load_silver(spark, silver_folder)
     scratch = scratch_folder(spark)
-    summary = store(item_summary(tables["reviews"]), f"{scratch}/item_summary.parquet")
+    base = store(item_day_summary(tables["reviews"]), f"{scratch}/item_days.parquet")
+    by_author = store(authors.author_summary(tables["reviews"]), f"{scratch}/authors.parquet")
     written = []
-    for name, df in gold_frames(tables, limits, summary).items():
+    for name, df in gold_frames(tables, limits, base=base, by_author=by_author).items():
         table = GOLD_TABLES[name][0]
         write_balanced(
             published(df, name), f"{gold_folder}/{table}.parquet", order=gold_order(name)

@@ -76,6 +76,9 @@ CANONICAL_COLUMNS: dict[str, dict[str, str]] = {
     "application_developers": {"appid": "item_id", "developer_id": "owner_id"},
 }
 
+# Partition column of a fact that is stored by month.
+MONTH = "review_month"
+
 KEYS = {"item_id", "genre_id", "owner_id"}
 NUMBERS = {"minutes_played", "minutes_at_review", "items_owned", "price"}
 FLAGS = {"recommended", "early_access", "is_free"}
@@ -96,7 +99,10 @@ def canonical(df: DataFrame, raw_table: str) -> DataFrame:
     """Raw table with canonical column names and types; absent columns are left out."""
     present = set(df.columns)
     columns = CANONICAL_COLUMNS[raw_table]
-    return df.select(*[_typed(raw, name) for raw, name in columns.items() if raw in present])
+    kept = [_typed(raw, name) for raw, name in columns.items() if raw in present]
+    if raw_table == "reviews" and MONTH in present:
+        kept.append(F.col(MONTH))
+    return df.select(*kept)
 
 
 def canonical_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:

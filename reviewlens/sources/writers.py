@@ -4,21 +4,47 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from reviewlens.functions.dates import epoch_to_date, month_start
+from reviewlens.schemas import MONTH
 from reviewlens.sources import files
 
 MB = 1024 * 1024
 MAX_FILE_BYTES = 100 * MB
 TARGET_FILE_BYTES = 90 * MB
+# Bytes of rows in an exchange that become one byte of Parquet, about.
+SHUFFLED_PER_STORED = 1.3
+# How often a stored copy is arranged again, at most.
+ARRANGEMENTS = 3
+STEP = "__"
 
 
 def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+@contextmanager
+def _advised(spark: SparkSession, size: int) -> Iterator[None]:
+    """Adaptive execution makes partitions of about ``size`` bytes inside the block."""
+    wanted = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{size}b",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def write_balanced(
     df: DataFrame,
     path: str,
@@ -28,42 +54,86 @@ def write_balanced(
 ) -> int:
     """Write a table as files of about ``target_bytes``; returns the number of files.
 
-    The frame is computed once and written by all tasks to a staging folder,
-    which gives the real compressed size.  At most ``max_bytes`` becomes one
-    file; anything larger becomes ``ceil(size / target_bytes)`` equal parts.
-    Only the stored copy is rearranged.  ``order`` is the order of the rows in
-    the files, one file after the other.  The old table is moved aside when the
-    new one is complete and deleted after the new one is in place; a failed run
-    removes what it staged.
+    A table of at most ``max_bytes`` is one file, a larger one has files of at most
+    that size and about equal parts.  The frame is computed once and normally written
+    once: a rebalancing exchange knows the real size of the data and cuts them into
+    parts that become files of about the target size; with ``order``, which is the
+    order of the rows in the files, one file after the other, the exchange is the one
+    of the sort.  Only where the compressed files turn out too large, or much too many,
+    the stored copy is arranged again.
+
+    The old table is moved aside when the new one is complete and deleted after the
+    new one is in place.  If that fails, the old table is put back and what was staged
+    is removed; after a crash in between, :func:`recover` does so from the names.
     """
     spark = df.sparkSession
+    recover(spark, path)
     mark = uuid.uuid4().hex[:8]
-    staging, ready, old = (f"{path}__{step}_{mark}" for step in ("staging", "ready", "old"))
+    staging, ready, old = (f"{path}{STEP}{step}_{mark}" for step in ("staging", "ready", "old"))
     try:
-        write_table(df, staging)
+        with _advised(spark, int(target_bytes * SHUFFLED_PER_STORED)):
+            write_table(df.orderBy(*order) if order else df.hint("rebalance"), staging)
         sizes = files.data_files(spark, staging)
         total = sum(sizes)
         wanted = 1 if total <= max_bytes else math.ceil(total / target_bytes)
-        if len(sizes) <= 1 and wanted == 1 and not order:
+        if fits(sizes, wanted, max_bytes):
             files.rename(spark, staging, ready)
         else:
             stored = spark.read.schema(df.schema).parquet(staging)
-            # One file only when the measured size is at most max_bytes.
-            if wanted == 1:
-                arranged = stored.coalesce(1)
-            else:
-                arranged = stored.repartitionByRange(wanted, *order) if order else stored.repartition(wanted)
-            write_table(arranged.sortWithinPartitions(*order) if order else arranged, ready)
-        replaced = files.exists(spark, path)
-        if replaced:
-            files.rename(spark, path, old)
-        files.rename(spark, ready, path)
-        if replaced:
-            files.delete(spark, old)
+            for _ in range(ARRANGEMENTS):
+                # One file only when the measured size is at most max_bytes.
+                if wanted == 1:
+                    arranged = stored.coalesce(1)
+                else:
+                    arranged = stored.repartitionByRange(wanted, *order) if order else stored.repartition(wanted)
+                write_table(arranged.sortWithinPartitions(*order) if order else arranged, ready)
+                sizes = files.data_files(spark, ready)
+                if wanted == 1 or max(sizes) <= max_bytes:
+                    break
+                # Smaller files compress less well, or the order is uneven.
+                wanted = math.ceil(wanted * max(sizes) / target_bytes)
+        _swap(spark, ready, path, old)
     finally:
         files.delete(spark, staging)
         files.delete(spark, ready)
-    return max(wanted, 1)
+    return max(len(sizes), 1)
+
+
+def fits(sizes: Sequence[int], wanted: int, max_bytes: int) -> bool:
+    """Whether files may stay as they were written: one where one is wanted, else none
+    too large, at most twice as many as wanted, and none much larger than the mean."""
+    if wanted == 1:
+        return len(sizes) <= 1
+    mean = sum(sizes) / len(sizes)
+    return len(sizes) <= 2 * wanted and max(sizes) <= min(max_bytes, 1.2 * mean) and min(sizes) >= mean / 1.2
+
+
+def _swap(spark: SparkSession, ready: str, path: str, old: str) -> None:
+    """Put a complete table in the place of another one, or leave that where it was."""
+    replaced = files.exists(spark, path)
+    if replaced:
+        files.rename(spark, path, old)
+    try:
+        files.rename(spark, ready, path)
+    except BaseException:
+        if replaced:
+            files.rename(spark, old, path)
+        raise
+    if replaced:
+        files.delete(spark, old)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put back a table that a crashed write had moved aside; true if it did.
+
+    The names say how far a write came: without a table in place, the one moved aside
+    last is the current one.
+    """
+    left = files.matching(spark, f"{path}{STEP}old_*")
+    if not left or files.exists(spark, path):
+        return False
+    files.rename(spark, left[-1], path)
+    return True
 
 
 def write_partitions(df: DataFrame, path: str, by: str) -> None:
@@ -76,6 +146,17 @@ def write_partitions(df: DataFrame, path: str, by: str) -> None:
     )
 
 
+def write_by_month(df: DataFrame, path: str, epoch: str, month: str = MONTH) -> None:
+    """Write a fact in one folder for each month (UTC) of its epoch seconds.
+
+    A month's rows are brought together first, so that a task does not write a file
+    for every month; adaptive execution splits a large month and merges small ones.
+    Rows without a usable time have a folder of their own.
+    """
+    dated = df.withColumn(month, month_start(epoch_to_date(epoch)))
+    dated.hint("rebalance", month).write.mode("overwrite").partitionBy(month).parquet(path)
+
+
 def store(df: DataFrame, path: str) -> DataFrame:
     """Write a result that several outputs use and return it as a scan.
 

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from reviewlens.operators import distribution as dist
 from reviewlens.operators import terms
@@ -99,3 +100,29 @@ def test_tfidf_by_hand(spark):
     for term, value in raw.items():
         assert found[(1, term)] == pytest.approx(value / length)
     assert sum(w * w for (k, _), w in found.items() if k == 2) == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("rows", [20_000, 200_000])
+def test_slots_have_equally_many_rows_at_any_size(spark, rows):
+    """A third of the rows is one category, and values are very uneven."""
+    df = spark.range(rows, numPartitions=7).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 50)).alias("g"),
+        F.exp(F.pmod(F.xxhash64("id"), F.lit(20))).alias("x"),
+    )
+    placed = dist._with_slot(df, ["g", "x", "id"], 2_000, None, "slot")
+    sizes = [r["count"] for r in placed.groupBy("slot").count().collect()]
+    assert rows / 2_000 * 0.7 < len(sizes) < rows / 2_000 * 1.4
+    assert max(sizes) <= 2 * rows / len(sizes)
+    again = dist._with_slot(df.repartition(3), ["g", "x", "id"], 2_000, None, "slot")
+    assert placed.exceptAll(again).count() == 0
+
+
+def test_positions_over_many_slots(spark, uneven):
+    df = spark.createDataFrame(uneven)
+    ours = dist.with_position(df, "g", ["x", "k"], rows_per_slot=100).toPandas().sort_values("k")
+    ordered = uneven.sort_values(["x", "k"])
+    groups = ordered.groupby("g", dropna=False)
+    assert (ours["position"].to_numpy() == (groups.cumcount() + 1).sort_index().to_numpy()).all()
+    assert (ours["total"].to_numpy() == groups["k"].transform("count").sort_index().to_numpy()).all()
+    assert dist.with_position(df.where("k < 0"), "g", ["x", "k"]).count() == 0

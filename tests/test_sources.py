@@ -201,6 +201,57 @@ def test_a_failed_write_leaves_the_old_table_alone(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["t.parquet"]
 
 
+def test_a_table_is_normally_written_once(spark, tmp_path, monkeypatch):
+    written = []
+    real = writers.write_table
+    monkeypatch.setattr(writers, "write_table", lambda df, path: (written.append(path), real(df, path)))
+    df = spark.range(300_000).select("id", F.md5(F.col("id").cast("string").cast("binary")).alias("h"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert writers.write_balanced(df, str(tmp_path / "one.parquet")) == 1
+    assert writers.write_balanced(df, str(tmp_path / "sorted.parquet"), order=[F.desc("id")]) == 1
+    assert len(written) == 2
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
+
+
+def test_files_that_fit():
+    assert writers.fits([], 1, 100) and writers.fits([90], 1, 100) and not writers.fits([40, 40], 1, 100)
+    assert writers.fits([90, 95, 88], 3, 100) and writers.fits([45] * 6, 3, 100)
+    assert not writers.fits([45] * 7, 3, 100)
+    assert not writers.fits([101, 99], 2, 100) and not writers.fits([90, 90, 40], 3, 100)
+
+
+@pytest.mark.parametrize("order", [[], [F.desc]])
+def test_a_failed_swap_puts_the_old_table_back(spark, tmp_path, monkeypatch, order):
+    path = str(tmp_path / "t.parquet")
+    writers.write_balanced(spark.range(3), path)
+    real, calls = files.rename, []
+
+    def failing(session, source, target):
+        calls.append(target)
+        if target == path and "ready" in source:
+            raise OSError("disk is gone")
+        real(session, source, target)
+
+    monkeypatch.setattr(files, "rename", failing)
+    with pytest.raises(OSError, match="disk is gone"):
+        writers.write_balanced(spark.range(5), path, order=[f("id") for f in order])
+    assert len(calls) >= 3
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t.parquet"]
+
+
+def test_a_crash_between_the_renames_is_mended_by_the_next_write(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    writers.write_balanced(spark.range(3), path)
+    files.rename(spark, path, f"{path}__old_0000")
+    assert writers.recover(spark, path) and spark.read.parquet(path).count() == 3
+    assert not writers.recover(spark, path)
+    files.rename(spark, path, f"{path}__old_0000")
+    assert writers.write_balanced(spark.range(4), path) == 1
+    assert spark.read.parquet(path).count() == 4
+    assert [p.name for p in tmp_path.iterdir()] == ["t.parquet"]
+
+
 def test_empty_table_is_written_and_read(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     writers.write_balanced(spark.range(5).filter("id < 0"), path)

@@ -16,7 +16,11 @@
    shard owns the next run of them, so shards are disjoint and together complete.
    Documents are shuffled inside their shard by another hash.
 
-The driver holds one row per source and one number per source and shard.
+The driver holds one row per source.  The tree is never laid out: a task walks from the
+root to the shards its tickets fall in and draws the nodes on the way, whose seeds depend
+on their place only.  Running sums and ranks over a source are taken in stretches of its
+blocks, so that no source is one window.  The mix is written as shards; what was taken is
+counted from them.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ MAX_EPOCHS = 3
 BLOCK_DOCS = 64
 #: Mean block tickets of an output shard.
 SHARD_BLOCKS = 64
+#: Blocks or tickets of a source that one window puts in order, about.
+STRETCH = 4_096
 SEED = 17
 
 
@@ -61,43 +67,88 @@ def water_fill(sizes: list[int], weights: list[float], total: float, most: float
     return out
 
 
-def splitting_tree(quotas: list[int], shards: int, seed: int = SEED) -> np.ndarray:
-    """Tickets of each source (row) in each shard (column).
+class SplittingTree:
+    """Tickets of each source in each shard, drawn where they are needed.
 
-    Columns hold equal numbers of tickets (within one); rows add up to the quotas.
+    Shards hold equal numbers of tickets (within one); a source's add up to its quota.
     """
-    total = sum(quotas)
-    ends = [total * (k + 1) // shards for k in range(shards)]
-    out = np.zeros((len(quotas), shards), np.int64)
-
-    def split(left: np.ndarray, low: int, high: int) -> None:
-        if high - low == 1:
-            out[:, low] = left
-            return
-        middle = (low + high) // 2
-        slots = ends[middle - 1] - (ends[low - 1] if low else 0)
-        draw = np.random.Generator(np.random.PCG64([seed, low, high]))
-        part, rest, open_ = np.zeros_like(left), int(left.sum()), slots
-        for k, own in enumerate(left.tolist()):  # one source after the other
-            if open_ and own:
-                # numpy's generator takes at most 1e9 tickets at once
-                part[k] = _hypergeometric(draw, own, rest - own, open_)
-            rest -= own
-            open_ -= int(part[k])
-        split(part, low, middle)
-        split(left - part, middle, high)
 
-    if shards and quotas:
-        split(np.array(quotas, np.int64), 0, shards)
-    return out
+    def __init__(self, quotas: list[int], shards: int, seed: int = SEED):
+        self.quotas, self.count, self.seed = np.array(quotas, np.int64), shards, seed
+        self.total = int(sum(quotas))
+
+    def _end(self, shard: int) -> int:
+        return self.total * shard // self.count
+
+    def _left(self, quotas: np.ndarray, low: int, high: int) -> np.ndarray:
+        """Quotas of the left half of the node over the shards from low to high."""
+        slots = self._end((low + high) // 2) - self._end(low)
+        draw = np.random.Generator(np.random.PCG64([self.seed, low, high]))
+        part, rest = np.zeros_like(quotas), int(quotas.sum())
+        for k, own in enumerate(quotas.tolist()):  # one source after the other
+            if slots and own:
+                part[k] = _hypergeometric(draw, own, rest - own, slots)
+            rest -= own
+            slots -= int(part[k])
+        return part
+
+    def shards_of(self, source: int, ranks: np.ndarray, known: dict | None = None) -> np.ndarray:
+        """Shard of each ticket of a source, by rank (from 1) in the permuted order.
+
+        ``known`` keeps nodes between calls.
+        """
+        known = {} if known is None else known
+        order = np.argsort(ranks, kind="stable")
+        sorted_, out = ranks[order], np.zeros(len(ranks), np.int64)
+        open_ = [(self.quotas, 0, self.count, 0, len(ranks), 0)]
+        while open_:
+            quotas, low, high, first, last, before = open_.pop()
+            if first == last:
+                continue
+            if high - low == 1:
+                out[first:last] = low
+                continue
+            if (low, high) not in known:
+                known[low, high] = self._left(quotas, low, high)
+            part, middle = known[low, high], (low + high) // 2
+            cut = first + int(np.searchsorted(sorted_[first:last], before + int(part[source]), side="right"))
+            open_.append((part, low, middle, first, cut, before))
+            open_.append((quotas - part, middle, high, cut, last, before + int(part[source])))
+        shards = np.empty_like(out)
+        shards[order] = out
+        return shards
 
 
 def _hypergeometric(draw, good: int, bad: int, picks: int) -> int:
-    if good + bad < 10**9:
+    if good + bad < 10**9:  # as many as numpy's generator takes
         return int(draw.hypergeometric(good, bad, picks))
-    mean = picks * good / (good + bad)
-    spread = math.sqrt(mean * bad / (good + bad) * (good + bad - picks) / (good + bad - 1))
-    return min(good, picks, max(0, picks - bad, round(draw.normal(mean, spread))))
+    return inverted_hypergeometric(draw.random(), good, bad, picks)
+
+
+def inverted_hypergeometric(u: float, good: int, bad: int, picks: int) -> int:
+    """The hypergeometric variate at ``u``: probabilities are used up from the mode outwards."""
+    choose = lambda n, k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+    least, most = max(0, picks - bad), min(good, picks)
+    mode = min(most, max(least, (picks + 1) * (good + 1) // (good + bad + 2)))
+    up = down = mode
+    p_up = p_down = math.exp(choose(good, mode) + choose(bad, picks - mode) - choose(good + bad, picks))
+    u -= p_up
+    while u > 0 and (up < most or down > least):
+        if up < most:
+            p_up *= (good - up) / (up + 1) * (picks - up) / (bad - picks + up + 1)
+            up += 1
+            u -= p_up
+            if u <= 0:
+                return up
+        if down > least:
+            p_down *= down / (good - down + 1) * (bad - picks + down) / (picks - down + 1)
+            down -= 1
+            u -= p_down
+            if u <= 0:
+                return down
+        if p_up + p_down == 0.0:
+            break
+    return mode
 
 
 def sources(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MAX_EPOCHS) -> list[dict]:
@@ -153,8 +204,8 @@ def plan(
     tickets = _tickets(placed, seed)
     counts = {r["source_number"]: r["count"] for r in tickets.groupBy("source_number").count().collect()}
     quotas = [counts.get(k, 0) for k in range(len(found))]
-    tree = splitting_tree(quotas, max(1, sum(quotas) // shard_blocks), seed)
-    dealt = _dealt(tickets, spark.sparkContext.broadcast(np.cumsum(tree, axis=1)))
+    tree = SplittingTree(quotas, max(1, sum(quotas) // shard_blocks), seed)
+    dealt = _dealt(tickets, tree)
 
     inside = Window.partitionBy("source_number", "block").orderBy("place", "doc_id", "text_hash")
     ended = F.sum("words").over(inside.rowsBetween(Window.unboundedPreceding, 0))
@@ -177,21 +228,37 @@ def _slice_of(hashed: str, parts: str) -> Column:
     return F.least(F.floor(unit * F.col(parts)), F.col(parts) - 1).cast("bigint")
 
 
+def _sum_before(rows: DataFrame, stretch: Column, order: list[str], value: Column, name: str) -> DataFrame:
+    """Sum of ``value`` over a source's earlier rows.
+
+    ``stretch`` numbers bounded runs of the order.  A window covers one of them; only
+    their totals, a row each, are put in order for a source.
+    """
+    keys = ["source_number", "_stretch"]
+    rows = rows.withColumn("_stretch", stretch).withColumn("_value", value)
+    earlier = Window.partitionBy("source_number").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*keys).agg(F.sum("_value").alias("_total"))
+    totals = totals.select(*keys, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = F.coalesce(F.sum("_value").over(inside), F.lit(0))
+    joined = rows.join(totals, keys).withColumn(name, F.col("_start") + own)
+    return joined.drop("_stretch", "_value", "_start")
+
+
 def _tickets(placed: DataFrame, seed: int) -> DataFrame:
     """A row for each time a block is taken, with the block's passes and open words."""
     blocks = placed.groupBy("source_number", "source_size", "target", "block").agg(
         F.sum("words").alias("block_size")
     )
-    # a row per block here: a source's rows are fewer by the size of a block
-    before = Window.partitionBy("source_number").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("block_size").over(before), F.lit(0))
+    blocks = stored(blocks, "mix-blocks")
+    stretch = F.floor(F.col("block") / STRETCH)
+    blocks = _sum_before(blocks, stretch, ["block"], F.col("block_size"), "start")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rest = F.col("target") - F.col("passes") * F.col("source_size")
     open_ = F.greatest(F.lit(0.0), F.least(F.col("block_size").cast("double"), rest - F.col("start")))
     taken = F.col("passes") + F.when((F.col("open") > 0) & (F.col("block_size") > 0), 1).otherwise(0)
     return stored(
-        blocks.withColumn("start", start)
-        .withColumn("passes", passes.cast("int"))
+        blocks.withColumn("passes", passes.cast("int"))
         .withColumn("open", open_)
         .withColumn("whole", F.col("open") >= F.col("block_size"))
         .withColumn("tickets", taken.cast("int"))
@@ -203,52 +270,84 @@ def _tickets(placed: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def _dealt(tickets: DataFrame, ends) -> DataFrame:
+def _dealt(tickets: DataFrame, tree: SplittingTree) -> DataFrame:
     """Shards of each block's tickets: a shard owns the next run of a source's tickets."""
+    shared = tickets.sparkSession.sparkContext.broadcast(tree)  # a number for each source
 
-    @F.pandas_udf("int")
+    @F.pandas_udf("bigint")
     def shard(source: pd.Series, rank: pd.Series) -> pd.Series:
-        out = np.zeros(len(source), np.int32)
+        out, known = np.zeros(len(source), np.int64), {}
         for k in np.unique(source):
             own = (source == k).to_numpy()
-            out[own] = np.searchsorted(ends.value[k], rank.to_numpy()[own], side="left")
+            out[own] = shared.value.shards_of(int(k), rank.to_numpy()[own], known)
         return pd.Series(out)
 
-    rank = F.row_number().over(Window.partitionBy("source_number").orderBy("draw", "block", "copy"))
+    sizes = tickets.groupBy("source_number").agg(F.ceil(F.count("*") / STRETCH).alias("stretches"))
+    sized = tickets.join(F.broadcast(sizes), "source_number")  # a row for each source
+    order = ["draw", "block", "copy"]
+    ranked = _sum_before(sized, _slice_of("draw", "stretches"), order, F.lit(1), "before")
     return (
-        tickets.withColumn("rank", rank)
-        .withColumn("shard", shard("source_number", "rank"))
+        ranked.withColumn("shard", shard("source_number", F.col("before") + 1))
         .groupBy("source_number", "block", "passes", "open", "whole")
         .agg(F.array_sort(F.collect_list(F.struct("copy", "shard"))).alias("places"))
     )
 
 
-def mix(
-    documents: DataFrame, planned: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source"
-) -> DataFrame:
-    """The mixed corpus with the columns of ``documents``.
-
-    A document taken n times gives n rows.  The rows of a shard lie in one
-    partition, in a shuffled order.
-    """
+def _mixed(documents: DataFrame, planned: DataFrame, doc: str, text: str, source: str) -> tuple[DataFrame, str]:
+    """Rows of the mix with their shard, in the order of the shards, and the shard's column."""
     names, mark = documents.columns, "__mix"
     while any(n.startswith(mark) for n in names):
         mark += "_"
     keys = [f"{mark}_{k}" for k in ("doc", "source", "text")]
+    number = f"{mark}_shard"
     taken = planned.where("copies > 0").select(
         F.col("doc_id").alias(keys[0]),
         F.col("source").alias(keys[1]),
         F.col("text_hash").alias(keys[2]),
-        F.explode("shards").alias(f"{mark}_shard"),
+        F.explode("shards").alias(number),
     )
     own = [F.col(f"`{doc}`"), F.col(f"`{source}`"), F.xxhash64(F.col(f"`{text}`"))]
     left = documents.withColumns({f"{k}_own": c for k, c in zip(keys, own)})
     same = [left[f"{k}_own"].eqNullSafe(taken[k]) for k in keys]
-    place = F.xxhash64(*keys, f"{mark}_shard")
+    place = F.xxhash64(*keys, number)
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
+    rows = (
         left.join(taken, same[0] & same[1] & same[2])
-        .repartition(parts, f"{mark}_shard")
-        .sortWithinPartitions(f"{mark}_shard", place)
-        .select(*[F.col(f"`{c}`") for c in names])
+        .repartition(parts, number)
+        .sortWithinPartitions(number, place)
+        .select(*[F.col(f"`{c}`") for c in names], number)
+    )
+    return rows, number
+
+
+def mix(
+    documents: DataFrame, planned: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
+    """The mixed corpus with the columns of ``documents``.
+
+    A document taken n times gives n rows.  The rows of a shard lie in one
+    partition, in a shuffled order.
+    """
+    return _mixed(documents, planned, doc, text, source)[0].select(*[F.col(f"`{c}`") for c in documents.columns])
+
+
+def write_shards(
+    documents: DataFrame, planned: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source"
+) -> tuple[DataFrame, str]:
+    """The mix as a written table, read back, and the name of its shard column."""
+    rows, number = _mixed(documents, planned, doc, text, source)
+    return stored(rows, "mix-shards"), number
+
+
+def taken(
+    shards: DataFrame, number: str, doc: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
+    """What the shards hold of each different (id, source, text): ``doc_id, source,
+    text_hash, words, in_shards``."""
+    return shards.groupBy(
+        F.col(f"`{doc}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
+        F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
+    ).agg(
+        F.sum(word_count(F.col(f"`{text}`"))).alias("words"),
+        F.array_sort(F.collect_set(number)).alias("in_shards"),  # as many as copies at most
     )

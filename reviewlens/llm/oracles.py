@@ -18,7 +18,7 @@ judged AS (
          len([w FOR w IN words IF regexp_matches(w, '[0-9A-Za-z]|[^\x00-\x7F]')]) AS bare,
          len([w FOR w IN words IF regexp_matches(w, '[#*$%&|<>]')]) AS marked,
          len([w FOR w IN words IF regexp_matches(w, '[!?]$')]) AS shouted,
-         regexp_matches(lower(line), 'all rights reserved|cookie policy|privacy policy|terms of service|terms of use|accept cookies|javascript is disabled|enable javascript|sign up for our newsletter|subscribe to our newsletter|click here to|lorem ipsum') AS phrase
+         regexp_matches(lower(line), 'all rights reserved|cookie policy|privacy policy|terms of service|terms of use|accept cookies|javascript is disabled|enable javascript|sign up for our newsletter|subscribe to our newsletter|click here to|lorem ipsum') AND len(words) <= 20 AS phrase
   FROM lines
 ),
 failing AS (

@@ -4,8 +4,8 @@ A line with words fails
 
 * the navigation rule when it is a list of links or cells: at least ``MIN_CELLS``
   separators (``|``, ``>``, a bullet or a tab) and at most ``CELL_WORDS`` words per cell;
-* the boilerplate rule when it has one of ``BOILERPLATE`` in it or equals an
-  earlier line of the document;
+* the boilerplate rule when it is short, of at most ``PHRASE_LINE`` words, and has one
+  of ``BOILERPLATE`` in it, or when it equals an earlier line of the document;
 * the punctuation rule when more than ``SYMBOL_SHARE`` of its words hold
   symbols, when it has at least ``SHOUT_WORDS`` words and most end in ``!`` or
   ``?``, or when it has as many and neither a letter nor a digit.
@@ -35,6 +35,8 @@ MIN_CELLS = 4
 CELL_WORDS = 2.0
 SYMBOL_SHARE = 0.3
 SHOUT_WORDS = 5
+#: Words of the longest line that a phrase fails: furniture is short, an article may name it.
+PHRASE_LINE = 20
 #: Fixed phrases of page furniture, in lower case.
 BOILERPLATE = (
     "all rights reserved",
@@ -128,7 +130,7 @@ def figures(texts: pa.Array, min_words: int = MIN_WORDS, min_left: float = MIN_L
     bare = sums(letters > 0, starts)
     navigation = (cells >= MIN_CELLS) & (bare <= CELL_WORDS * (cells + 1))
     phrase = pc.match_substring_regex(lines, "|".join(map(re.escape, BOILERPLATE)), ignore_case=True)
-    boilerplate = again | phrase.to_numpy(zero_copy_only=False)
+    boilerplate = again | (phrase.to_numpy(zero_copy_only=False) & (per_line <= PHRASE_LINE))
     long = per_line >= SHOUT_WORDS
     punctuation = long & (
         (sums(symbols > 0, starts) > SYMBOL_SHARE * per_line)

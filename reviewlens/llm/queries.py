@@ -124,9 +124,21 @@ def op8_chat_relational(spark, folder):
 
 @query
 def op9_mix_block_quotas(spark, folder):
-    planned = mixing.plan(table(spark, folder, "documents"))
-    return planned.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    documents = table(spark, folder, "documents").select("doc_id", "text", "source")
+    planned = stored(mixing.plan(documents), "mix-plan")
+    found = mixing.taken(*mixing.write_shards(documents, planned))
+    keys = ["doc_id", "source", "text_hash"]
+    found = found.select(*[F.col(k).alias(f"found_{k}") for k in keys], "words", "in_shards")
+    same = [F.col(k).eqNullSafe(F.col(f"found_{k}")) for k in keys]
+    rows = planned.join(found, same[0] & same[1] & same[2], "left")
+    words = F.expr("coalesce(words, 0) DIV repeats")
+    return rows.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        words.alias("taken"),
+        F.coalesce("in_shards", F.array().cast("array<bigint>")).alias("shards"),
     )
 
 

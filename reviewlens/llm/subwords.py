@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -20,17 +21,20 @@ class Subwords:
     A byte-level tokenizer never joins a character that is no white space to a
     space after it, so a text may be cut before such a space.  Each different
     piece is encoded by the library once and remembered; texts with other white
-    space around a cut are encoded whole.  A piece is cut further at a full stop
+    space around a cut, or with a mark such as ``<|endoftext|>``, are encoded whole.  A piece is cut further at a full stop
     or comma after its last letter and at single line breaks, where the
-    tokenizer's own rules part it as well.
+    tokenizer's own rules part it as well.  With ``plain`` a mark is text like any other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
+        added = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: marks that the tokenizer takes out of a text before anything else
+        self.marks = "|".join(map(re.escape, added))
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self._forget()
 
@@ -100,6 +104,8 @@ class Subwords:
         open_end = ~safe[numbers]
         open_end[starts[1:] - 1] = False
         odd = W.sums_by_row(open_end, starts) > 0
+        if self.marks:
+            odd |= pc.match_substring_regex(texts, self.marks).to_numpy(zero_copy_only=False)
         first = starts[:-1]
         heads = [plain[k] for k in numbers[first]]
         later = [" " + p for p in plain]
@@ -124,11 +130,11 @@ class Subwords:
         return ids, at
 
 
-_LOADED: dict[str, Subwords] = {}
+_LOADED: dict[tuple[str, bool], Subwords] = {}
 
 
-def subwords(path: str) -> Subwords:
+def subwords(path: str, plain: bool = False) -> Subwords:
     """The tokenizer of a vocabulary file, loaded once in each process."""
-    if path not in _LOADED:
-        _LOADED[path] = Subwords(path)
-    return _LOADED[path]
+    if (path, plain) not in _LOADED:
+        _LOADED[path, plain] = Subwords(path, plain)
+    return _LOADED[path, plain]

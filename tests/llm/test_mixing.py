@@ -1,3 +1,4 @@
+import math
 import re
 
 import numpy as np
@@ -63,22 +64,57 @@ def test_water_fill_stops_at_the_limit():
     assert mixing.water_fill([], [], 0) == []
 
 
+def laid_out(quotas, shards, seed=mixing.SEED):
+    """Tickets of each source (row) in each shard (column)."""
+    tree = mixing.SplittingTree(quotas, shards, seed)
+    places = [tree.shards_of(k, np.arange(1, q + 1)) for k, q in enumerate(quotas)]
+    return np.array([np.bincount(p, minlength=shards) for p in places]), places
+
+
 def test_tree_keeps_quotas_and_shard_sizes():
     quotas = [100, 0, 37, 1, 512]
     for shards in (1, 2, 7, 650, 700):
-        tree = mixing.splitting_tree(quotas, shards)
+        tree, places = laid_out(quotas, shards)
         assert tree.sum(axis=1).tolist() == quotas and (tree >= 0).all()
         assert np.ptp(tree.sum(axis=0)) <= 1
-    assert (mixing.splitting_tree(quotas, 7) == mixing.splitting_tree(quotas, 7)).all()
+        assert all((np.diff(p) >= 0).all() for p in places)  # a shard owns a run
+    assert (laid_out(quotas, 7)[0] == laid_out(quotas, 7)[0]).all()
+
+
+def test_any_tickets_find_their_shards_alone():
+    quotas, draw = [300, 41, 0, 77], np.random.default_rng(3)
+    tree = mixing.SplittingTree(quotas, 23)
+    whole = laid_out(quotas, 23)[1]
+    for source in (0, 1, 3):
+        ranks = draw.permutation(quotas[source])[:20] + 1
+        assert tree.shards_of(source, ranks).tolist() == whole[source][ranks - 1].tolist()
+        assert tree.shards_of(source, ranks[:0]).tolist() == []
 
 
 def test_tree_is_hypergeometric():
-    got = np.array([mixing.splitting_tree([30, 70], 4, seed)[0] for seed in range(2000)])
+    got = np.array([laid_out([30, 70], 4, seed)[0][0] for seed in range(2000)])
     assert np.allclose(got.mean(axis=0), 7.5, atol=0.15)
     variance = 25 * 0.3 * 0.7 * 75 / 99
     assert np.allclose(got.var(axis=0), variance, rtol=0.15)
 
 
+@pytest.mark.parametrize("good, bad, picks", [(30, 70, 25), (5, 3, 6), (1, 9, 10), (0, 4, 2), (40, 2, 41)])
+def test_inverted_draw_is_hypergeometric(good, bad, picks):
+    u = (np.arange(4000) + 0.5) / 4000
+    got = np.bincount([mixing.inverted_hypergeometric(x, good, bad, picks) for x in u], minlength=picks + 1) / 4000
+    ways = [math.comb(good, k) * math.comb(bad, picks - k) / math.comb(good + bad, picks) for k in range(picks + 1)]
+    assert np.allclose(got, ways, atol=1e-3)
+
+
+def test_inverted_draw_of_very_many():
+    good, bad, picks = 4 * 10**9, 6 * 10**9, 5 * 10**9
+    draw = np.random.default_rng(1)
+    got = np.array([mixing._hypergeometric(draw, good, bad, picks) for _ in range(60)], float)
+    deviation = math.sqrt(picks * 0.4 * 0.6 * 0.5)
+    assert abs(got.mean() - 2 * 10**9) < 5 * deviation / math.sqrt(60)
+    assert 0.6 < got.std() / deviation < 1.5
+
+
 def test_blocks_are_disjoint_and_shards_are_runs(documents):
     rows = mixing.plan(documents, block_docs=4, shard_blocks=5).collect()
     shards = {}
@@ -109,7 +145,44 @@ def test_empty_table(tricky):
     assert planned.count() == 0 and mixing.mix(empty, planned).count() == 0
 
 
-def test_query_returns_every_document(spark, documents):
-    rows = QUERIES["op9_mix_block_quotas"](spark, FOLDER).collect()
-    assert len(rows) == documents.count()
-    assert all(r["taken"] in (0, r["size"], 2 * r["size"], 3 * r["size"]) for r in rows)
+def test_stretches_give_the_same_plan(documents, monkeypatch):
+    names = ("doc_id", "copies", "shards")
+    get = lambda: sorted(
+        tuple(map(str, (r[n] for n in names))) for r in mixing.plan(documents, block_docs=2, shard_blocks=3).collect()
+    )
+    one = get()
+    monkeypatch.setattr(mixing, "STRETCH", 3)
+    assert get() == one
+
+
+def test_tickets_of_a_block_go_to_the_shards_of_the_tree(documents):
+    """The plan by hand: ranks of all tickets in one sort, the whole tree laid out."""
+    rows = mixing.plan(documents, block_docs=4, shard_blocks=5).collect()
+    counts = {}
+    for r in rows:
+        for s in r["shards"]:
+            counts[s] = counts.get(s, 0) + 1
+    assert set(counts) <= set(range(max(counts) + 1))
+    written, number = mixing.write_shards(documents, mixing.plan(documents, block_docs=4, shard_blocks=5))
+    repeats = {}
+    for r in rows:
+        for s in r["shards"]:
+            repeats[s] = repeats.get(s, 0) + r["repeats"]
+    assert {r[number]: r["count"] for r in written.groupBy(number).count().collect()} == repeats
+
+
+def test_query_reads_what_was_taken_from_the_shards(spark, documents):
+    df = QUERIES["op9_mix_block_quotas"](spark, FOLDER)
+    assert "mix-shards" in "".join(df.inputFiles())
+    rows = df.collect()
+    planned = {r["doc_id"]: r for r in mixing.plan(documents).collect()}
+    assert len(rows) == documents.count() == len(planned)
+    taken, targets_ = {}, {}
+    for r in rows:
+        p = planned[r["doc_id"]]
+        assert r["taken"] == r["size"] * p["copies"] and r["shards"] == sorted(set(p["shards"]))
+        taken[p["source"]] = taken.get(p["source"], 0) + r["taken"]
+        targets_[p["source"]] = r["target"]
+    for source, target in targets_.items():
+        largest = max(r["size"] for r in rows if planned[r["doc_id"]]["source"] == source)
+        assert abs(taken[source] - target) <= max(largest, 0.02 * target)

@@ -9,11 +9,22 @@ characters become numbers, and three tests ask whether they could be random:
 * the runs test above and below the middle of the alphabet;
 * the serial correlation of neighbours.
 
-Fisher's method combines the three p values.  The null is "random", so text is
-what gets rejected: within each encoding and length class the Benjamini-Hochberg
-rule at ``RATE`` sets how small p must be, from the p values of all candidates
-of all documents (counted in bins of a hundredth of a decade).  Candidates that
-are not rejected become spans of kind ``random``.  Where base spans cover a part
+Fisher's method combines the three p values.  Within each encoding and length class
+the Benjamini-Hochberg rule at ``RATE`` rejects "random" from the p values of all
+candidates of all documents (counted in bins of a hundredth of a decade); those are
+text.
+
+What is left is reported only if "text" is rejected as well.  Text is described by how
+often a letter follows another (a-z, a digit, anything else), one half from all
+documents outside the candidates, the other from lists of common words, so that there
+is a description for any corpus and no narrow one.  The mean logarithm of a candidate's
+pairs is compared with its mean in text; its variance is that of independent pairs
+``DEPENDENCE`` times, as neighbouring pairs depend on each other, plus ``SPREAD``
+squared, by which names and paths differ from running text.  The Benjamini-Hochberg
+rule on these p values, again by encoding and length class, bounds the share of text
+among the reported spans of kind ``random``.
+
+Where base spans cover a part
 of a candidate, each stretch of 20 or more characters outside them is a candidate.
 """
 
@@ -39,12 +50,22 @@ ASSIGN_VALUE = 6
 #: Upper ends of the length classes.
 CLASSES = (32, 40, 64, 128, 512)
 RATE = 0.05
+#: Variance of a mean over pairs of text, in variances of independent pairs.
+DEPENDENCE = 2.0
+#: Standard deviation between strings of text, beyond chance, of that mean.
+SPREAD = 0.7
 KINDS = ("assign", "access", "hex", "random")
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ALPHABETS = {"hex": DIGITS + "abcdef", "base32": UPPER + "234567", "base64": UPPER + LOWER + DIGITS + "+/"}
 #: Widths of the chi-squared classes along each alphabet.
 WIDTHS = {"hex": (4,) * 4, "base32": (8,) * 4, "base64": (26, 26, 10, 2)}
 BINS = 100
+#: Matches whose lengths are summed at once.
+RUN = 64
+#: Letters, digits (as 0) and all other characters (as _) of the description of text.
+LETTERS = LOWER + "0_"
+#: Languages whose common words are a part of that description.
+PRIOR_LANGUAGES = ("english", "german", "spanish", "french")
 
 
 def _found(text: Column, pattern: str) -> Column:
@@ -56,18 +77,28 @@ def _found(text: Column, pattern: str) -> Column:
 
 
 def _spans(found: str) -> Column:
-    """Array of (start, end, value) in code points."""
+    """Array of (start, end, value) in code points.
+
+    A start is the sum of the lengths before it.  Sums are kept for runs of ``RUN``
+    matches, so the work grows as the matches, and only for the runs as their square.
+    """
+    add = "(a, x) -> a + x"
+    steps = f"zip_with({found}.matches, slice({found}.gaps, 1, size({found}.matches)), (m, g) -> g + length(m))"
+    given = f"array(named_struct('m', {found}.matches, 'g', {found}.gaps, 'steps', {steps}))"
+    runs = f"if(size(v.m) = 0, cast(array() as array<int>), sequence(0, cast((size(v.m) - 1) DIV {RUN} as int)))"
+    sums = f"transform({runs}, b -> aggregate(slice(v.steps, {RUN} * b + 1, {RUN}), 0, {add}))"
+    before = f"aggregate(slice(w.sums, 1, b), 0, {add}) + aggregate(slice(w.v.steps, {RUN} * b + 1, i), 0, {add})"
+    one = f"""named_struct('start', {before} + element_at(w.v.g, {RUN} * b + i + 1),
+                           'value', element_at(w.v.m, {RUN} * b + i + 1))"""
+    inside = f"transform(sequence(0, least({RUN}, size(w.v.m) - {RUN} * b) - 1), i -> {one})"
+    placed = f"flatten(transform(sequence(0, size(w.sums) - 1), b -> {inside}))"
+    empty = "cast(array() as array<struct<start:int,value:string>>)"
+    # arrays of one element bind what all matches share
+    bound = f"""flatten(transform({given}, v -> flatten(transform(
+                  array(named_struct('v', v, 'sums', {sums})), w -> if(size(w.sums) = 0, {empty}, {placed})))))"""
     return F.expr(
-        f"""aggregate(
-              sequence(1, size({found}.matches) + 1),
-              named_struct('at', 0, 'out', cast(array() as array<struct<start:int,end:int,value:string>>)),
-              (a, k) -> if(k > size({found}.matches), a, named_struct(
-                'at', a.at + element_at({found}.gaps, k) + length(element_at({found}.matches, k)),
-                'out', concat(a.out, array(named_struct(
-                  'start', a.at + element_at({found}.gaps, k),
-                  'end', a.at + element_at({found}.gaps, k) + length(element_at({found}.matches, k)),
-                  'value', element_at({found}.matches, k)))))),
-              a -> a.out)"""
+        f"""transform({bound}, s -> named_struct(
+              'start', s.start, 'end', s.start + length(s.value), 'value', s.value))"""
     )
 
 
@@ -187,23 +218,84 @@ def length_class(n: Column) -> Column:
     return out
 
 
-def limits(tested: DataFrame, rate: float = RATE) -> DataFrame:
-    """Benjamini-Hochberg bin of each stratum: candidates in it or a smaller-p bin are text.
+def letter_pairs(value: Column) -> Column:
+    """Neighbouring characters, as two of ``LETTERS`` each."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(value), "[0-9]", "0"), "[^a-z0]+", "_")
+    return F.regexp_extract_all(plain, F.lit("(?=(..))"), F.lit(1))
+
+
+def pair_logs(texts: DataFrame) -> tuple[list[float], float, float]:
+    """Log probability of the second character of each pair of ``LETTERS`` after the
+    first, and their mean and variance in text.
+
+    Half of the weight have the pairs of the column ``text`` outside candidates, counted
+    over all rows, half those of Spark's lists of common words; mean and variance are
+    those of the less predictable of the two.  At most a row per pair of letters reaches
+    the driver.
+    """
+    spark = texts.sparkSession
+    lists = spark.sparkContext._jvm.org.apache.spark.ml.feature.StopWordsRemover
+    common = [(f" {w} ",) for name in PRIOR_LANGUAGES for w in lists.loadDefaultStopWords(name)]
+    outside = texts.select(F.regexp_replace("text", CANDIDATE, " ").alias("text"))
+    prior, own = (
+        {
+            r["pair"]: r["n"]
+            for r in df.select(F.explode(letter_pairs(F.col("text"))).alias("pair"))
+            .groupBy("pair").agg(F.count("*").alias("n")).collect()
+        }
+        for df in (spark.createDataFrame(common, "text string"), outside)
+    )
+    both = {pair: prior.get(pair, 0) + own.get(pair, 0) for pair in {*prior, *own}}
+    shares = [_after(both), _after(prior)]
+    logs = [math.log((x + y) / 2) for x, y in zip(*shares)]
+    described = []
+    for counts in (own, prior):
+        weights = [counts.get(a + b, 0) for a in LETTERS for b in LETTERS]
+        if total := sum(weights):
+            mean = sum(w * x for w, x in zip(weights, logs)) / total
+            described.append((mean, sum(w * (x - mean) ** 2 for w, x in zip(weights, logs)) / total))
+    return logs, *min(described)
+
+
+def _after(counts: dict[str, int]) -> list[float]:
+    """Share of the second letter after the first, each pair counted once more."""
+    out = []
+    for a in LETTERS:
+        row = [counts.get(a + b, 0) + 1 for b in LETTERS]
+        out += [n / sum(row) for n in row]
+    return out
+
+
+def text_p(value: Column, described: tuple[list[float], float, float]) -> Column:
+    """P value of "text": the lower tail of the mean log probability of a value's pairs."""
+    logs, mean, variance = described
+    table, letters = F.array(*map(F.lit, logs)), F.lit(LETTERS)
+    place = lambda p, k: F.instr(letters, F.substring(p, k, 1))
+    known = F.transform(
+        letter_pairs(value), lambda p: F.element_at(table, (place(p, 1) - 1) * len(LETTERS) + place(p, 2))
+    )
+    total = F.aggregate(known, F.lit(0.0), lambda a, x: a + x)
+    n = F.greatest(F.lit(1), F.size(known))
+    return _normal_upper((F.lit(mean) - total / n) / F.sqrt(DEPENDENCE * variance / n + SPREAD * SPREAD))
+
+
+def limits(tested: DataFrame, rate: float = RATE, bin_: str = "bin", name: str = "limit") -> DataFrame:
+    """Benjamini-Hochberg bin of each stratum: candidates in it or a smaller-p bin are rejected.
 
     A stratum is an encoding and a length class, so the result and every window
     here have a bounded number of rows whatever the number of candidates.
     """
-    counts = tested.groupBy("encoding", "class", "bin").count()
+    counts = tested.groupBy("encoding", "class", bin_).count()
     stratum = Window.partitionBy("encoding", "class")
-    upto = F.sum("count").over(stratum.orderBy(F.desc("bin")))
+    upto = F.sum("count").over(stratum.orderBy(F.desc(bin_)))
     total = F.sum("count").over(stratum)
-    largest_p = F.pow(F.lit(10.0), -F.col("bin") / BINS)
+    largest_p = F.pow(F.lit(10.0), -F.col(bin_) / BINS)
     return (
         counts.withColumn("upto", upto)
         .withColumn("total", total)
         .where(largest_p <= rate * F.col("upto") / F.col("total"))
         .groupBy("encoding", "class")
-        .agg(F.min("bin").alias("limit"))
+        .agg(F.min(bin_).alias(name))
     )
 
 
@@ -212,12 +304,14 @@ def find_spans(documents: DataFrame, doc: str = "doc_id", text: str = "text", ra
 
     Spans are sorted by start, then kind.  A null text is empty and has none.
     Repeated rows get equal spans; their candidates count as often in the
-    false-discovery rule.  An empty table gives no rows.  Other columns are
-    ignored.  The texts are read once; what the tests need is stored.
+    false-discovery rules.  An empty table gives no rows.  Other columns are
+    ignored.  The texts are read for the spans and for the letter pairs; what the
+    tests need is stored.
     """
     rows = documents.select(
         F.col(doc).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
+    described = pair_logs(rows)
     patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": CANDIDATE}
     rows = rows.select("doc_id", *[_found(F.col("text"), p).alias(f"f_{k}") for k, p in patterns.items()])
     rows = rows.select("doc_id", *[_spans(f"f_{k}").alias(k) for k in patterns])
@@ -232,15 +326,19 @@ def find_spans(documents: DataFrame, doc: str = "doc_id", text: str = "text", ra
         "secret-spans",
     )
     tested = battery(rows.select("row", F.explode("random").alias("s")).select("row", "s.start", "s.end", "s.value"))
-    bin_ = F.floor(-F.log10(F.greatest(F.lit(1e-100), F.col("p"))) * BINS).cast("int")
+    binned = lambda p: F.floor(-F.log10(F.greatest(F.lit(1e-100), p)) * BINS).cast("int")
     tested = stored(
-        tested.withColumn("class", length_class(F.col("n"))).withColumn("bin", bin_),
+        tested.withColumn("class", length_class(F.col("n")))
+        .withColumn("bin", binned(F.col("p")))
+        .withColumn("text_bin", binned(text_p(F.col("value"), described))),
         "secret-tests",
     )
-    bound = limits(tested, rate)
+    strata = ["encoding", "class"]
+    bounds = limits(tested, rate).join(limits(tested, rate, "text_bin", "text_limit"), strata, "full")
     secrets = (
-        tested.join(F.broadcast(bound), ["encoding", "class"], "left")
+        tested.join(F.broadcast(bounds), strata)  # without a bound no text is rejected
         .where(F.col("limit").isNull() | (F.col("bin") < F.col("limit")))
+        .where(F.col("text_bin") >= F.col("text_limit"))
         .groupBy("row")
         .agg(F.collect_list(F.struct("start", F.lit(3).alias("kind"), "end", "value")).alias("more"))
     )

@@ -1,8 +1,12 @@
 import hashlib
+import math
 import random
 import re
 import string
 
+import pytest
+from pyspark.sql import functions as F
+
 from reviewlens.llm import secret_scan
 from reviewlens.llm.queries import QUERIES
 from tests.llm.conftest import FOLDER, TRICKY
@@ -100,6 +104,94 @@ def test_candidates_are_tested_outside_base_spans(spark):
     assert hits >= 0.9 * 80
 
 
+NAMES = [
+    "getUserProfileFromDB", "getJsonProfileFromDB", "handleIncomingRequestBody", "AbstractConfigurationFactory",
+    "org/apache/spark/sql/catalyst", "setDefaultConnectionTimeout", "node_modules/react-scripts/config",
+    "isCustomerAddressValidated", "XMLHttpRequestEventTarget", "convert_camel_case_to_snake_case",
+    "customerOrderLineItemRepository", "ThreadPoolExecutorService2", "src/main/java/com/example/App",
+    "MAX_NUMBER_OF_RETRIES_PER_HOST", "DatabaseMigrationHistoryTable", "background-color-transition",
+    "onBeforeUnloadEventListener", "InternationalPaymentGateway", "usr/local/share/applications", "computeShippingCostsForRegion",
+]
+
+
+@pytest.mark.parametrize("prose", [False, True])
+def test_names_are_rarely_reported_beside_keys(spark, documents, prose):
+    """The share of names among what is reported, and the share of names that is."""
+    more = [r["text"] for r in documents.limit(100).collect()] if prose else []
+    draw = random.Random(8)
+    names = [f"{a}{draw.choice(['', 'V2', 'Test', '_old', 'Impl'])}" for a in NAMES for _ in range(12)]
+    keys = ["".join(draw.choices(string.ascii_letters + string.digits, k=draw.choice((20, 24, 32, 40)))) for _ in range(120)]
+    rows = secret_scan.find_spans(texts(spark, [f"call {x} now" for x in names + keys] + more)).where(f"doc_id < {len(names + keys)}").collect()
+    found = {r["doc_id"] for r in rows if any(s["kind"] == 3 for s in r["spans"])}
+    wrong = sum(k < len(names) for k in found)
+    assert wrong <= 0.05 * len(names) and wrong <= 0.1 * len(found)
+    assert len(found) - wrong >= 0.9 * len(keys)
+    alone = secret_scan.find_spans(texts(spark, [f"call {x} now" for x in names] + more)).where(f"doc_id < {len(names)}").collect()
+    assert sum(bool(r["spans"]) for r in alone) <= 0.05 * len(names)
+
+
+def by_hand_p(value):
+    """Combined p value of the battery, in plain Python."""
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", value):
+        name, widths, middle, value = "hex", (4, 4, 4, 4), 8, value.lower()
+    elif re.fullmatch("[A-Z2-7]+", value):
+        name, widths, middle = "base32", (8, 8, 8, 8), 16
+    else:
+        name, widths, middle = "base64", (26, 26, 10, 2), 32
+    x = [secret_scan.ALPHABETS[name].index(c) for c in value.translate(str.maketrans("-_", "+/"))]
+    n, low, chi = len(x), 0, 0.0
+    for w in widths:
+        want = n * w / sum(widths)
+        chi += (sum(low <= v < low + w for v in x) - want) ** 2 / want
+        low += w
+    upper = lambda z: 1 / (1 + math.exp(min(600.0, 1.5976 * z + 0.07056 * z**3)))
+    df = len(widths) - 1
+    p1 = upper(((chi / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
+    high = [v >= middle for v in x]
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:]))
+    want = 2 * sum(high) * (n - sum(high)) / n + 1
+    variance = (want - 1) * (want - 2) / (n - 1)
+    p2 = 2 * upper(abs(runs - want) / math.sqrt(variance)) if variance > 0 else 0.0
+    mean = sum(x) / n
+    spread = sum((v - mean) ** 2 for v in x)
+    around = sum((a - mean) * (b - mean) for a, b in zip(x, x[1:]))
+    p3 = 2 * upper(abs(around / spread + 1 / n) * math.sqrt(n)) if spread > 0 else 0.0
+    half = -sum(math.log(max(1e-100, p)) for p in (p1, p2, p3))
+    return min(1.0, math.exp(-half) * (1 + half + half * half / 2))
+
+
+def test_battery_equals_plain_python(spark):
+    draw = random.Random(9)
+    values = ["".join(draw.choices(a, k=draw.randint(20, 90))) for a in secret_scan.ALPHABETS.values() for _ in range(20)]
+    values += NAMES + ["A" * 30, "0" * 24, "AZ" * 12, "-" * 20]
+    rows = secret_scan.battery(texts(spark, values).withColumnRenamed("text", "value")).collect()
+    for r in rows:
+        assert r["p"] == pytest.approx(by_hand_p(values[r["doc_id"]]), rel=1e-6, abs=1e-90), r["value"]
+
+
+def test_text_p_equals_plain_python(spark):
+    plain = ["The cat sat on the mat, 42 times.", "Überall ist es schön", None, ""] * 3
+    described = secret_scan.pair_logs(texts(spark, plain).fillna(""))
+    logs, mean, variance = described
+    size = len(secret_scan.LETTERS)
+    assert len(logs) == size * size
+    assert all(abs(sum(math.exp(x) for x in logs[k * size : k * size + size]) - 1) < 1e-9 for k in range(size))
+    got = texts(spark, NAMES).select("text", secret_scan.text_p(F.col("text"), described).alias("p")).collect()
+    for r in got:
+        x = re.sub("[^a-z0]+", "_", re.sub("[0-9]", "0", r["text"].lower()))
+        place = secret_scan.LETTERS.index
+        own = [logs[place(a) * size + place(b)] for a, b in zip(x, x[1:])]
+        z = (mean - sum(own) / len(own)) / math.sqrt(2 * variance / len(own) + 0.49)
+        assert r["p"] == pytest.approx(1 / (1 + math.exp(1.5976 * z + 0.07056 * z**3)), rel=1e-9)
+
+
+def test_many_spans_in_one_text(spark):
+    text = " ".join(f"é{k} 0123456789abcdef01234567" for k in range(3_000))
+    (row,) = secret_scan.find_spans(texts(spark, [text])).collect()
+    assert [tuple(s) for s in row["spans"] if s["kind"] < 3] == base_spans(text)
+    assert len(row["spans"]) == 3_000
+
+
 def test_plan_runs_no_python(spark):
     plan = secret_scan.find_spans(texts(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

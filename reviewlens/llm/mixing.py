@@ -336,7 +336,7 @@ def write_shards(
 ) -> tuple[DataFrame, str]:
     """The mix as a written table, read back, and the name of its shard column."""
     rows, number = _mixed(documents, planned, doc, text, source)
-    return stored(rows, "mix-shards"), number
+    return stored(rows, "mix-shards", compression="zstd"), number
 
 
 def taken(

@@ -33,7 +33,7 @@ SHARD_IDS = 64 << 20
 SHARD_DOCS = 1 << 20
 #: Ids that are read at once.
 READ_IDS = 4 << 20
-ENCODE_BYTES = 12 << 20
+ENCODE_BYTES = 8 << 20
 MAGIC = b"EFTOKEN1"
 #: bytes per id, documents without id, smallest id, ids, then sizes of the two sequences
 _TAIL = struct.Struct("<BQqQQQ8s")

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from reviewlens.llm import words as W
 
 #: Pieces whose ids a worker remembers; bounds its memory (about 150 bytes a piece).
-CACHED_PIECES = 500_000
+CACHED_PIECES = 150_000
 
 
 class Subwords:

@@ -1,7 +1,9 @@
 """Command line: ``python -m reviewlens silver|gold|feeds|report IN OUT``.
 
 Run it with ``spark-submit`` or plain Python; master and memory come from the
-deployment.  ``feeds`` reads a gold folder and writes one table per feed;
+deployment.  ``silver`` prints rows and filled values of the columns it has
+written; ``--by-month`` stores the fact in a folder for each month.  ``feeds`` reads a
+gold folder and writes one table per feed, passing over feeds whose tables are missing;
 ``report`` reads a folder with ``silver`` and ``gold`` in it and writes the daily
 series with the items and keywords of its unusual days.
 """
@@ -20,10 +22,12 @@ def main() -> None:
     parser.add_argument("step", choices=["silver", "gold", "feeds", "report"])
     parser.add_argument("source")
     parser.add_argument("target")
+    parser.add_argument("--by-month", action="store_true")
     chosen = parser.parse_args()
     spark = get_session(f"reviewlens-{chosen.step}")
     if chosen.step == "silver":
-        medallion.build_silver(spark, chosen.source, chosen.target)
+        medallion.build_silver(spark, chosen.source, chosen.target, chosen.by_month)
+        medallion.silver_profile(spark, chosen.target).show(1000, truncate=False)
     elif chosen.step == "gold":
         medallion.build_gold(spark, chosen.source, chosen.target)
     elif chosen.step == "report":
@@ -36,7 +40,7 @@ def main() -> None:
     else:
         gold, missing = medallion.load_gold(spark, chosen.source)
         if missing:
-            raise SystemExit(f"missing gold tables: {', '.join(missing)}")
+            print(f"missing gold tables: {', '.join(missing)}")
         for name, df in medallion.chart_feeds(gold).items():
             write_balanced(df, f"{chosen.target}/{name}.parquet")
     spark.stop()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # A calendar bounds the number of days; a frame of days is always small.
 DAYS_PER_CENTURY = 36_525
+FIRST_DATE = "0001-01-01"
 
 
 def keep_known(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
@@ -28,6 +29,9 @@ def keep_days(df: DataFrame, days: DataFrame, on: str, month: str | None = None)
     wanted = days.select(on)
     if month is None:
         return df.join(F.broadcast(wanted), on, "left_semi")
+    # Spark prunes by a frame that a comparison has cut down, and by no other; this one
+    # holds for every date.
+    wanted = wanted.filter(F.col(on) >= F.lit(FIRST_DATE).cast("date"))
     wanted = wanted.withColumn(month, F.trunc(on, "month"))
     return df.join(F.broadcast(wanted), [month, on], "left_semi")
 

@@ -6,7 +6,7 @@ can read them; :func:`load_gold` gives them back with canonical names.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +27,8 @@ from reviewlens.sources.ingest import ingest_folder
 from reviewlens.sources.readers import load_profile, load_tables, read_parts, read_table
 from reviewlens.sources.writers import store, write_balanced
 
+EXTRA_TABLE = "category_vote_engagement"
+
 # Published gold tables and the columns renamed in them.
 GOLD_TABLES: dict[str, tuple[str, dict[str, str]]] = {
     "engagement_contrast": ("gm_hater_paradox", {"item_id": "appid", "item_name": "app_name"}),
@@ -182,13 +184,14 @@ def build_gold(
     silver_folder: str,
     gold_folder: str,
     limits: Thresholds = Thresholds(),
+    extras: bool = False,
 ) -> list[str]:
     """Write the gold tables; returns their names.
 
     The fact is read three times: for the summary by item, day and flag, for the
     summary by author, and for the hours sample.  Both summaries are written to the
     shared scratch folder, read by every table derived from them, and removed at the
-    end.
+    end.  ``extras`` adds the hours by category and vote, with a pass of its own.
     """
     tables = load_silver(spark, silver_folder)
     scratch = scratch_folder(spark)
@@ -201,6 +204,9 @@ def build_gold(
             published(df, name), f"{gold_folder}/{table}.parquet", order=gold_order(name)
         )
         written.append(table)
+    if extras:
+        write_balanced(category_engagement(tables), f"{gold_folder}/{EXTRA_TABLE}.parquet")
+        written.append(EXTRA_TABLE)
     files.delete(spark, scratch)
     return written
 
@@ -218,37 +224,51 @@ def load_gold(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], l
     return gold, missing
 
 
+#: Feeds by name: the gold tables each needs, and how it is made of them.
+FEEDS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
+    "kpis": (("flag_split", "item_ratings", "owner_performance", "category_volume"), feeds.kpi_summary),
+    "early_access": (("flag_split",), reviews.flag_shares),
+    "top_genres": (("category_volume",), feeds.top_categories),
+    "engagement_contrast": (("engagement_contrast",), feeds.engagement_contrast_feed),
+    "best_items": (("item_ratings",), feeds.best_items),
+    "worst_items": (("item_ratings",), feeds.worst_items),
+    "sentiment_genre": (("category_sentiment",), feeds.top_category_sentiment),
+    "genre_timeline": (("category_timeline",), feeds.category_timeline_dense),
+    "toxicity_price": (("negativity_by_tier",), feeds.tier_box_summary),
+    "toxicity_heatmap": (("tier_access_matrix",), items.tier_access_pivot),
+    "negativity_series": (("daily_volume",), anomalies.negativity_anomalies),
+    "cdf_price": (("negativity_by_tier", "engagement_contrast"), items.negative_hours_cdf),
+    "top_users": (("most_active_authors",), feeds.most_active_authors_feed),
+    "user_profiles": (("author_profiles",), feeds.author_profile_feed),
+    "hours_box": (("log_hours_sample",), lambda sample: feeds.hours_distribution(sample)[0]),
+    "hours_histogram": (("log_hours_sample",), lambda sample: feeds.hours_distribution(sample)[1]),
+    "owner_ranking": (("owner_performance",), owners.owner_ranking),
+    "owner_engagement_contrast": (
+        ("item_ratings", "engagement_contrast", "owner_performance"),
+        owners.owner_engagement_contrast,
+    ),
+}
+
+
 def chart_feeds(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Chart-ready results from gold tables."""
-    box, bins = feeds.hours_distribution(gold["log_hours_sample"])
-    ratings, performance = gold["item_ratings"], gold["owner_performance"]
-    contrast, negativity = gold["engagement_contrast"], gold["negativity_by_tier"]
+    """Chart-ready results from the gold tables that there are; other feeds are left out."""
     return {
-        "kpis": feeds.kpi_summary(
-            gold["flag_split"], ratings, performance, gold["category_volume"]
-        ),
-        "early_access": reviews.flag_shares(gold["flag_split"]),
-        "top_genres": feeds.top_categories(gold["category_volume"]),
-        "engagement_contrast": feeds.engagement_contrast_feed(contrast),
-        "best_items": feeds.best_items(ratings),
-        "worst_items": feeds.worst_items(ratings),
-        "sentiment_genre": feeds.top_category_sentiment(gold["category_sentiment"]),
-        "genre_timeline": feeds.category_timeline_dense(gold["category_timeline"]),
-        "toxicity_price": feeds.tier_box_summary(negativity),
-        "toxicity_heatmap": items.tier_access_pivot(gold["tier_access_matrix"]),
-        "negativity_series": anomalies.negativity_anomalies(gold["daily_volume"]),
-        "cdf_price": items.negative_hours_cdf(negativity, contrast),
-        "top_users": feeds.most_active_authors_feed(gold["most_active_authors"]),
-        "user_profiles": feeds.author_profile_feed(gold["author_profiles"]),
-        "hours_box": box,
-        "hours_histogram": bins,
-        "owner_ranking": owners.owner_ranking(performance),
-        "owner_engagement_contrast": owners.owner_engagement_contrast(
-            ratings, contrast, performance
-        ),
+        name: build(*[gold[table] for table in needed])
+        for name, (needed, build) in FEEDS.items()
+        if all(table in gold for table in needed)
     }
 
 
+def category_engagement(tables: dict[str, DataFrame]) -> DataFrame:
+    """Mean hours at the time of review per category and vote.
+
+    Not one of the published gold tables; :func:`build_gold` writes it with
+    ``extras``.
+    """
+    labels = categories.genre_labels(tables["genre_bridge"], tables["genres"])
+    return categories.category_vote_engagement(tables["reviews"], tables["items"], labels)
+
+
 def anomaly_report(
     tables: dict[str, DataFrame],
     gold: dict[str, DataFrame],

@@ -161,3 +161,41 @@ def test_second_run_gives_the_same_tables(spark, folders):
     medallion.build_gold(spark, silver, gold, LIMITS)
     for table, content in before.items():
         assert sorted(map(str, rows(spark, gold, table))) == content
+
+
+def test_feeds_without_their_tables_are_left_out(spark, folders):
+    gold, _ = medallion.load_gold(spark, folders[1])
+    del gold["item_ratings"], gold["log_hours_sample"]
+    found = medallion.chart_feeds(gold)
+    assert set(medallion.FEEDS) - set(found) == {
+        "kpis", "best_items", "worst_items", "owner_engagement_contrast", "hours_box", "hours_histogram",
+    }
+    assert medallion.chart_feeds({}) == {}
+
+
+def test_extras_and_profile(spark, folders, tmp_path):
+    silver, _ = folders
+    written = medallion.build_gold(spark, silver, str(tmp_path), LIMITS, extras=True)
+    assert len(written) == 14
+    found = rows(spark, str(tmp_path), medallion.EXTRA_TABLE)
+    assert {(r["genre_name"], r["recommended"]) for r in found} == {
+        (g, v) for g in ("Action", "Puzzle") for v in (True, False)
+    }
+    profile = {(r["table"], r["column"]): r for r in medallion.silver_profile(spark, silver).collect()}
+    assert profile["reviews", "recommendationid"]["rows"] == DAYS * 12
+    assert profile["reviews", "author_playtime_forever"]["non_null"] == DAYS * 11
+
+
+def test_fact_by_month_gives_the_same_report(spark, folders, tmp_path):
+    silver, gold_folder = folders
+    raw = silver.removesuffix("silver") + "raw"
+    medallion.build_silver(spark, raw, f"{tmp_path}/silver", by_month=True)
+    months = {p.name for p in (tmp_path / "silver" / "reviews_2024.parquet").iterdir() if "=" in p.name}
+    assert months == {"review_month=2024-01-01", "review_month=2024-02-01"}
+    gold, _ = medallion.load_gold(spark, gold_folder)
+    stored = medallion.load_silver(spark, f"{tmp_path}/silver")
+    ours = medallion.anomaly_report(stored, gold)
+    assert "dynamicpruning" in ours._jdf.queryExecution().executedPlan().toString()
+    theirs = medallion.anomaly_report(medallion.load_silver(spark, silver), gold)
+    assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect()))
+    assert any(r.keywords for r in ours.collect())

@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reviewlens.functions.dates import epoch_to_date, month_start
 from reviewlens.schemas import MONTH
@@ -20,6 +21,10 @@ TARGET_FILE_BYTES = 90 * MB
 SHUFFLED_PER_STORED = 1.3
 # How often a stored copy is arranged again, at most.
 ARRANGEMENTS = 3
+# A task's part of a table whose files are smaller than that, in bytes of Parquet, and
+# how many files it may write.
+TASK_BYTES = 64 * MB
+TASK_FILES = 128
 STEP = "__"
 
 
@@ -27,6 +32,17 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def _write_files(df: DataFrame, path: str, tasks: int, rows: int) -> None:
+    """Deal rows evenly to tasks, each of which writes files of ``rows`` rows.
+
+    Tasks move their files into place themselves, where the driver would move one after
+    the other; ``path`` must be a folder that nothing reads before the job has ended.
+    """
+    df.repartition(tasks).write.mode("overwrite").options(
+        maxRecordsPerFile=rows, **{"mapreduce.fileoutputcommitter.algorithm.version": 2}
+    ).parquet(path)
+
+
 @contextmanager
 def _advised(spark: SparkSession, size: int) -> Iterator[None]:
     """Adaptive execution makes partitions of about ``size`` bytes inside the block."""
@@ -60,7 +76,8 @@ def write_balanced(
     parts that become files of about the target size; with ``order``, which is the
     order of the rows in the files, one file after the other, the exchange is the one
     of the sort.  Only where the compressed files turn out too large, or much too many,
-    the stored copy is arranged again.
+    the stored copy is arranged again.  Small files, without ``order``, are always written
+    from a stored copy, many by each task: their size is found by writing one task's part.
 
     The old table is moved aside when the new one is complete and deleted after the
     new one is in place.  If that fails, the old table is put back and what was staged
@@ -71,7 +88,8 @@ def write_balanced(
     mark = uuid.uuid4().hex[:8]
     staging, ready, old = (f"{path}{STEP}{step}_{mark}" for step in ("staging", "ready", "old"))
     try:
-        with _advised(spark, int(target_bytes * SHUFFLED_PER_STORED)):
+        part_bytes = target_bytes if order else max(target_bytes, TASK_BYTES)
+        with _advised(spark, int(part_bytes * SHUFFLED_PER_STORED)):
             write_table(df.orderBy(*order) if order else df.hint("rebalance"), staging)
         sizes = files.data_files(spark, staging)
         total = sum(sizes)
@@ -80,13 +98,17 @@ def write_balanced(
             files.rename(spark, staging, ready)
         else:
             stored = spark.read.schema(df.schema).parquet(staging)
+            rows, dealers = (0, 0) if order or wanted == 1 else (stored.count(), len(sizes))
+            if rows:
+                wanted = _probed(stored, f"{ready}_probe", rows, total, wanted, dealers, target_bytes)
             for _ in range(ARRANGEMENTS):
                 # One file only when the measured size is at most max_bytes.
-                if wanted == 1:
-                    arranged = stored.coalesce(1)
+                if rows:
+                    _write_files(stored, ready, *_dealt(rows, total, wanted, dealers))
+                elif wanted == 1:
+                    write_table(stored.coalesce(1).sortWithinPartitions(*order) if order else stored.coalesce(1), ready)
                 else:
-                    arranged = stored.repartitionByRange(wanted, *order) if order else stored.repartition(wanted)
-                write_table(arranged.sortWithinPartitions(*order) if order else arranged, ready)
+                    write_table(stored.repartitionByRange(wanted, *order).sortWithinPartitions(*order), ready)
                 sizes = files.data_files(spark, ready)
                 if wanted == 1 or max(sizes) <= max_bytes:
                     break
@@ -96,9 +118,35 @@ def write_balanced(
     finally:
         files.delete(spark, staging)
         files.delete(spark, ready)
+        files.delete(spark, f"{ready}_probe")
     return max(len(sizes), 1)
 
 
+def _dealt(rows: int, total: int, wanted: int, dealers: int) -> tuple[int, int]:
+    """Tasks, and rows of a file, for about ``wanted`` files of a table of ``total`` bytes.
+
+    Each of the ``dealers`` that read the stored copy gives every task the same number of
+    rows or one more.  The rows of a file leave room for that, so that a task's last file
+    is a little smaller than the others and none has the few rows that are left.
+    """
+    most = max(1, min(TASK_FILES, rows // max(1, wanted) // 16))
+    tasks = max(math.ceil(total / TASK_BYTES), math.ceil(wanted / most))
+    each = math.ceil(wanted / tasks)
+    room = min(dealers, rows // wanted // 16)
+    return tasks, max(1, math.ceil((rows / tasks + room) / each))
+
+
+def _probed(
+    stored: DataFrame, path: str, rows: int, total: int, wanted: int, dealers: int, target_bytes: int
+) -> int:
+    """The number of files for files of about ``target_bytes``, as one task's part of the rows compresses."""
+    tasks, per_file = _dealt(rows, total, wanted, dealers)
+    mark = F.pmod(F.xxhash64(*stored.columns), F.lit(tasks)) == 0
+    _write_files(stored.where(mark), path, 1, per_file)
+    largest = max(files.data_files(stored.sparkSession, path), default=0)
+    return math.ceil(wanted * max(1.0, largest / target_bytes))
+
+
 def fits(sizes: Sequence[int], wanted: int, max_bytes: int) -> bool:
     """Whether files may stay as they were written: one where one is wanted, else none
     too large, at most twice as many as wanted, and none much larger than the mean."""

@@ -395,3 +395,16 @@ def test_first_lines_and_line_ends(spark, tmp_path):
         ("a,b", "\n"), ("a,b", "\r\n"), ("a,b", "\r"), ("a,b", "\n"), ("", "\n"), (wide, "\r\n"),
         ("x" * 4095, "\r\n"), ("é", "\n"),
     ]
+
+
+def test_a_task_writes_many_small_files(spark, tmp_path):
+    """Small files cost a task each no more: parts of one task share its number in the name."""
+    path = str(tmp_path / "small.parquet")
+    df = spark.range(200_000).select(F.col("id"), F.xxhash64("id").alias("x"))
+    n = writers.write_balanced(df, path, max_bytes=20_000, target_bytes=15_000)
+    names = [f.name for f in (tmp_path / "small.parquet").glob("*.parquet")]
+    sizes = files.data_files(spark, path)
+    assert n == len(names) == len(sizes) > 8 * len({name.split("-")[1] for name in names})
+    assert max(sizes) <= 20_000 and min(sizes) >= sum(sizes) / len(sizes) / 2
+    stored = spark.read.parquet(path)
+    assert stored.count() == stored.distinct().count() == 200_000

@@ -28,6 +28,11 @@ def normalise_text(text: Column | str) -> Column:
     return F.regexp_replace(F.lower(as_column(text)), r"[^a-z\s]", " ")
 
 
+def spaced_text(text: Column | str) -> Column:
+    """:func:`normalise_text` with every white space a blank, so the length is the same."""
+    return F.regexp_replace(F.lower(as_column(text)), "[^a-z ]", " ")
+
+
 def stripped_length(text: Column | str) -> Column:
     return F.length(F.regexp_replace(as_column(text), r"^\s+|\s+$", ""))
 
@@ -36,15 +41,21 @@ def is_long_enough(normalised: Column | str, longer_than: int = MIN_TEXT_LENGTH)
     return stripped_length(normalised) > longer_than
 
 
-def words(normalised: Column | str, stop_words: Iterable[str] | None = None) -> Column:
-    """Words of two letters or more in text order, without stop words (Spark's English ones)."""
+def words(
+    normalised: Column | str, stop_words: Iterable[str] | None = None, spaced: bool = False
+) -> Column:
+    """Words of two letters or more in text order, without stop words (Spark's English ones).
+
+    With ``spaced`` the text is from :func:`spaced_text`: cut at single blanks, which needs
+    no regular expression and leaves empty words that are too short to stay.
+    """
     stop = sorted(set(default_stop_words() if stop_words is None else stop_words))
 
     def keep(word: Column) -> Column:
         long_enough = F.length(word) >= MIN_WORD_LENGTH
         return long_enough & ~word.isin(stop) if stop else long_enough
 
-    return F.filter(F.split(as_column(normalised), r"\s+"), keep)
+    return F.filter(F.split(as_column(normalised), " " if spaced else r"\s+"), keep)
 
 
 def bigrams(tokens: Column | str) -> Column:

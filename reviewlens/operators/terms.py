@@ -20,6 +20,7 @@ from reviewlens.functions.words import (
     MIN_TEXT_LENGTH,
     is_long_enough,
     normalise_text,
+    spaced_text,
     unigrams_and_bigrams,
     words,
 )
@@ -75,8 +76,8 @@ def exploded_terms(
             F.col("_words").isNotNull(), F.concat(found, F.array(F.lit(USABLE_MARK)))
         ).otherwise(F.array(F.lit(SHORT_MARK)))
     return (
-        df.select(*keys, normalise_text(text).alias("_text"))
-        .select(*keys, F.when(long_enough, words("_text", stop_words)).alias("_words"))
+        df.select(*keys, spaced_text(text).alias("_text"))
+        .select(*keys, F.when(long_enough, words("_text", stop_words, spaced=True)).alias("_words"))
         .select(*keys, F.explode(found).alias("term"))
     )
 
@@ -124,8 +125,8 @@ def group_vocabulary(
     ).otherwise(one(SHORT_MARK))
     is_mark = F.col("term").isin(USABLE_MARK, SHORT_MARK)
     totals = (
-        df.select(group, normalise_text(text).alias("_text"))
-        .select(group, F.when(long_enough, words("_text", stop_words)).alias("_words"))
+        df.select(group, spaced_text(text).alias("_text"))
+        .select(group, F.when(long_enough, words("_text", stop_words, spaced=True)).alias("_words"))
         .select(group, "_words", terms.alias("_terms"))
         .select(group, F.inline(counted))
         .groupBy(group, "term")

@@ -370,3 +370,17 @@ def test_stop_words_are_the_written_list(spark):
     from reviewlens.functions.words import default_stop_words
 
     assert {w.strip("' ") for w in STOP_LIST.split(",")} == set(default_stop_words())
+
+
+def test_words_cut_at_single_blanks(spark):
+    """Any white space, other letters, lengths and empty texts: the same words as by a regular expression."""
+    from reviewlens.functions import words as w
+
+    texts = ["The  cat\tsat\non\x0bthe\x0c mat\r\n", "", " ", None, "a b é cd ef", "don't STOP--now", "x", "İstanbul ok"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select(
+        w.words(w.normalise_text("t")).alias("old"), w.words(w.spaced_text("t"), spaced=True).alias("new"),
+        w.stripped_length(w.normalise_text("t")).alias("old_size"), w.stripped_length(w.spaced_text("t")).alias("new_size"),
+    ).collect()
+    assert all(r["old"] == r["new"] and r["old_size"] == r["new_size"] for r in rows)
+    assert rows[0]["new"] == ["cat", "sat", "mat"]

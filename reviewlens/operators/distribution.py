@@ -21,7 +21,10 @@ MAX_SLOTS = 16_384
 # which keeps the largest slot within twice the mean.
 POINTS_PER_SLOT = 32
 HASHES = 1 << 31
-COMPILED_STEPS = 6
+# The cut points are dealt into 2 ** CELL_STEPS cells.  A row finds its cell by a few halvings
+# and its slot among the cell's in a broadcast join; both compare in generated code.  Halvings
+# down to the slot are slower: too much code for the JVM to compile, or an array function.
+CELL_STEPS = 8
 QUARTILES = (0.25, 0.5, 0.75)
 WHISKER = 1.5
 
@@ -45,36 +48,42 @@ def _with_slot(
     A row is a sample point when its hash is small, so the cut points depend on the
     rows only and recomputing a lost partition gives the same slots.  The sample
     holds at most about ``MAX_SLOTS * POINTS_PER_SLOT`` points, whatever the table.
-    The slot, which is the number of cut points up to the row, is found by halving
-    the sorted cut points.
+    The slot is the number of cut points up to the row; the joined table of slots has
+    at most about ``2 * MAX_SLOTS`` rows.
     """
     points = df.select(F.struct(*order).alias("point"))
     rows = points.agg(F.count(F.lit(1))).scalar()
     wanted = F.lit(slots) if slots else F.least(F.ceil(rows / rows_per_slot), F.lit(MAX_SLOTS))
     small = F.pmod(F.xxhash64("point"), F.lit(HASHES)) < wanted * (POINTS_PER_SLOT * HASHES) / rows
     every = F.sort_array(F.collect_list("point"))
-    cuts = (
-        points.where(small)
-        .agg(F.filter(every, lambda _, i: (i + 1) % POINTS_PER_SLOT == 0))
-        .scalar()
+    cuts = points.where(small).agg(
+        F.filter(every, lambda _, i: (i + 1) % POINTS_PER_SLOT == 0).alias("cuts")
+    )
+    cuts = cuts.withColumn("per", F.ceil((F.size("cuts") + 1) / (1 << CELL_STEPS)).cast("int"))
+    cells = cuts.select(F.filter("cuts", lambda _, i: (i + 1) % F.col("per") == 0)).scalar()
+    number = F.explode(F.sequence(F.lit(0), F.size("cuts")))
+    bounds = cuts.select("cuts", "per", number.alias(slot)).select(
+        slot,
+        F.floor(F.col(slot) / F.col("per")).cast("int").alias("_in"),
+        F.get("cuts", F.col(slot) - 1).alias("_low"),
+        F.get("cuts", F.col(slot)).alias("_high"),
+    )
+    placed = df.withColumns({"_cells": cells, "_point": F.struct(*order), "_cell": F.lit(0)})
+    for step in [1 << i for i in reversed(range(CELL_STEPS))]:
+        # Past the last cell `get` is null and the position stays.
+        beyond = F.get("_cells", F.col("_cell") + step - 1) <= F.col("_point")
+        further = F.when(beyond, F.col("_cell") + step).otherwise(F.col("_cell"))
+        placed = placed.withColumn("_cell", further)
+    inside = (
+        (F.col("_cell") == F.col("_in"))
+        & (F.col("_low").isNull() | (F.col("_low") <= F.col("_point")))
+        & (F.col("_high").isNull() | (F.col("_point") < F.col("_high")))
+    )
+    return (
+        placed.drop("_cells")
+        .join(F.broadcast(bounds), inside)
+        .drop("_cell", "_in", "_low", "_high", "_point")
     )
-    slots = 2 * (slots or MAX_SLOTS)  # the sample varies
-    halves = [1 << i for i in reversed(range((slots - 1).bit_length()))]
-
-    def advance(passed: Column, step: Column | int) -> Column:
-        # Past the last cut point `get` is null and the position stays.
-        beyond = F.get("_cuts", passed + step - 1) <= F.col("_point")
-        return F.when(beyond, passed + step).otherwise(passed)
-
-    placed = df.withColumns({"_cuts": cuts, "_point": F.struct(*order), slot: F.lit(0)})
-    # A few steps are fastest as generated code; many would make one method too
-    # large for the JVM to compile, so the rest run as an array function.
-    for step in halves[:COMPILED_STEPS]:
-        placed = placed.withColumn(slot, advance(F.col(slot), step))
-    if halves[COMPILED_STEPS:]:
-        rest = F.array(*[F.lit(step) for step in halves[COMPILED_STEPS:]])
-        placed = placed.withColumn(slot, F.aggregate(rest, F.col(slot), advance))
-    return placed.drop("_cuts", "_point")
 
 
 def with_position(
@@ -98,26 +107,29 @@ def with_position(
     size = F.lit(1) if weight is None else F.col(weight)
     placed = _with_slot(df, [by, *order], rows_per_slot, slots, slot)
 
+    # Only a category that crosses slots needs other slots' totals.  In a slot these are
+    # its first and its last category at most, so the table is bounded by the slots.
     sizes = placed.groupBy(by, slot).agg(F.sum(size).alias("_size"))
-    earlier = Window.partitionBy(by).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
+    every = Window.partitionBy(by)
+    earlier = every.orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
+    crossing = sizes.select(
         F.col(by).alias("_by"),
         F.col(slot).alias("_at"),
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias(before),
-        F.sum("_size").over(Window.partitionBy(by)).alias(total),
-    )
-
-    within = (
-        Window.partitionBy(by, slot)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+        F.sum("_size").over(earlier).alias(before),
+        F.sum("_size").over(every).alias("_all"),
+        F.count(F.lit(1)).over(every).alias("_slots"),
+    ).where("_slots > 1")
+
+    within = Window.partitionBy(by, slot).orderBy(*order)
+    up_to_here = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     same_slot = F.col(by).eqNullSafe(F.col("_by")) & (F.col(slot) == F.col("_at"))
     return (
-        placed.withColumn(position, F.sum(size).over(within))
-        .join(offsets, same_slot)
-        .withColumn(position, F.col(position) + F.col(before))
-        .drop(slot, "_by", "_at", before)
+        placed.withColumns({position: F.sum(size).over(up_to_here), total: F.sum(size).over(whole)})
+        .join(F.broadcast(crossing), same_slot, "left")
+        .withColumn(position, F.col(position) + F.coalesce(F.col(before), F.lit(0)))
+        .withColumn(total, F.when(F.col("_at").isNull(), F.col(total)).otherwise(F.col("_all")))
+        .drop(slot, "_by", "_at", before, "_all", "_slots")
     )
 
 

@@ -126,3 +126,17 @@ def test_positions_over_many_slots(spark, uneven):
     assert (ours["position"].to_numpy() == (groups.cumcount() + 1).sort_index().to_numpy()).all()
     assert (ours["total"].to_numpy() == groups["k"].transform("count").sort_index().to_numpy()).all()
     assert dist.with_position(df.where("k < 0"), "g", ["x", "k"]).count() == 0
+
+
+def test_positions_take_one_shuffle_of_the_rows(spark):
+    """Few of many categories cross a slot; the totals of the others come from their own slot."""
+    df = spark.range(5_000, numPartitions=4).select((F.col("id") % 1_200).alias("g"), F.col("id").alias("x"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a large table
+    try:
+        placed = dist.with_position(df, "g", ["x"], rows_per_slot=500)
+        rows = {(r.g, r.x): (r.position, r.total) for r in placed.collect()}
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == {(x % 1_200, x): (x // 1_200 + 1, len(range(x % 1_200, 5_000, 1_200))) for x in range(5_000)}
+    assert "SortMergeJoin" not in plan

@@ -35,6 +35,24 @@ def test_ids_equal_the_library(library, documents):
             assert ids[starts[k] : starts[k + 1]].tolist() == library(text), repr(text[:200])
 
 
+def test_the_library_gets_pieces_in_few_texts(library):
+    words = [f"w{k}{mark}" for k in range(20_000) for mark in ("", ".", " ", "\u2003", " \n", "é")]
+    texts = [" ".join(words[k : k + 500]) for k in range(0, len(words), 500)]
+    texts += [words[k] for k in range(40)] + ["", " ", "\n", "é ", "x" * 200_000 + " y"]
+    encoder, given = Subwords(PATH), []
+    whole = encoder.library
+    encoder.library = lambda some: given.extend(some) or whole(some)
+    ids, starts = encoder.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [library(t) for t in texts]
+    plain = [" ".join(words[k : k + 500 : 6]) for k in range(0, len(words), 500)]
+    given.clear()
+    encoder.encode(pa.array(plain))
+    assert len(given) < 2 * len(plain)  # first pieces, a few with white space, and the others joined
+    encoder.bytes_of[:] = 3  # as if it were no byte-level vocabulary: pieces are encoded one by one
+    ids, starts = encoder.encode(pa.array(plain))
+    assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [library(t) for t in plain]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 255, 256, 257, 5000])
 def test_elias_fano_round_trip(n):
     draw = np.random.default_rng(n)
